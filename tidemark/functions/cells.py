@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import is_match_date
 from tidemark.functions.numbers import parse_minutes, parse_stat, to_float, to_int
-from tidemark.functions.text import blank_to_null, clean_value
+from tidemark.functions.text import bind, blank_to_null
 from tidemark.schemas import MATCH_COUNTS, MATCH_MINUTES
 
 # --- fixed values ---------------------------------------------------------------
@@ -21,12 +21,12 @@ DATED_ROWS = 2
 
 
 def at(values: Column, index: int) -> Column:
-    """Cell by position, '' behind the end of the row."""
-    return clean_value(F.get(values, F.lit(index)))
+    """Cell by position, '' behind the end of the row; cell texts are already stripped."""
+    return F.coalesce(F.get(values, F.lit(index)), F.lit(""))
 
 
 def joined_note(values: Column) -> Column:
-    return blank_to_null(F.array_join(F.filter(values, lambda cell: cell != ""), " "))
+    return bind(F.array_join(F.filter(values, lambda cell: cell != ""), " "), blank_to_null)
 
 
 def tail(values: Column, start: Column | int) -> Column:

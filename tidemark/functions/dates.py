@@ -7,27 +7,26 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import SPACE, strip
+from tidemark.functions.text import SPACE, bind, strip
 
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 NAMED = (
     rf"(?i)^(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec){SPACE}+([0-9]{{1,2}}),{SPACE}+"
-    r"([0-9]{4}|[0-9]{2})\z"
+    r"((?!0000)[0-9]{4}|[0-9]{2})\z"
 )
 SLASHED = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{2})\z"
 
 
-def _full_year(year: Column) -> Column:
-    """Two digits: 69-99 are the 1900s, 00-68 the 2000s (Spark's own pivot differs)."""
-    short = year.try_cast("int")
-    return F.when(F.length(year) == 4, short).otherwise(
-        short + F.when(short >= 69, F.lit(1900)).otherwise(F.lit(2000))
-    )
+def _date(parts: Column) -> Column:
+    """Date of (year, month, day) texts, null where there is no such day.
 
-
-def _date(year: Column, month: Column, day: Column) -> Column:
-    text = F.format_string("%04d-%02d-%02d", _full_year(year), month, day.try_cast("int"))
-    return text.try_cast("date")
+    Two-digit years: 69-99 are the 1900s, 00-68 the 2000s (Spark's own pivot differs).
+    """
+    year, month, day = (F.get(parts, F.lit(i)) for i in range(3))
+    century = F.when(F.length(year) == 4, "").when(year >= "69", "19").otherwise("20")
+    named = ((F.position(month, F.lit(MONTHS)) + 2) / 3).cast("int")
+    number = F.when(F.length(month) == 3, named.cast("string")).otherwise(month)
+    return F.concat(century, year, F.lit("-"), number, F.lit("-"), day).try_cast("date")
 
 
 def match_date(value: Column) -> Column:
@@ -36,24 +35,14 @@ def match_date(value: Column) -> Column:
     The parts are read by pattern and put together again, which avoids the
     formatter's own ideas about lenient widths and two-digit years.
     """
-    month = (F.position(F.lower(F.regexp_extract(value, NAMED, 1)), F.lit(MONTHS)) + 2) / 3
-    return F.when(
-        value.rlike(NAMED),
-        _date(
-            F.regexp_extract(value, NAMED, 3), month.cast("int"), F.regexp_extract(value, NAMED, 2)
-        ),
-    ).when(
-        value.rlike(SLASHED),
-        _date(
-            F.regexp_extract(value, SLASHED, 3),
-            F.regexp_extract(value, SLASHED, 1).try_cast("int"),
-            F.regexp_extract(value, SLASHED, 2),
-        ),
-    )
+    ordered = F.when(
+        value.rlike(NAMED), F.lower(F.regexp_replace(value, NAMED, "$3 $1 $2"))
+    ).when(value.rlike(SLASHED), F.regexp_replace(value, SLASHED, "$3 $1 $2"))
+    return bind(F.split(ordered, " "), _date)
 
 
 def is_match_date(value: Column) -> Column:
-    return F.coalesce(match_date(value).isNotNull(), F.lit(False))
+    return match_date(value).isNotNull()
 
 
 def iso_match_date(value: Column) -> Column:

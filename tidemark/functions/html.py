@@ -13,7 +13,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import SPACE, strip, strip_shirt_number
+from tidemark.functions.text import bind, strip, strip_shirt_number
 
 REST = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -26,11 +26,12 @@ ENTITY = r"(?s)&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?|[^&]+|&"
 
 ENTITIES = {name: chr(code) for name, code in name2codepoint.items()}
 UNKNOWN = "\ufffd"
+CUT = "\x00"  # no page has this character: HTML does not allow it
 
 
-def bind(value: Column, use) -> Column:
-    """``use(value)`` with the value worked out once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def cut_at(text: Column, pattern: str) -> Column:
+    """Split at a pattern: the engine keeps the compiled pattern of a replace, not of a split."""
+    return F.split(F.regexp_replace(text, pattern, CUT), CUT)
 
 
 def _character(code: Column) -> Column:
@@ -88,7 +89,7 @@ def text_of(fragment: Column) -> Column:
     """All text pieces, each stripped, joined by one blank."""
 
     def whole(text: Column) -> Column:
-        pieces = F.transform(F.split(text, ANY_TAG), lambda piece: strip(unescape(piece)))
+        pieces = F.transform(cut_at(text, ANY_TAG), lambda piece: strip(unescape(piece)))
         plain = ~F.contains(text, F.lit("<")) & ~F.contains(text, F.lit("&"))
         return F.when(plain, strip(text)).otherwise(
             F.array_join(F.filter(pieces, lambda piece: piece != ""), " ")
@@ -148,9 +149,10 @@ def heading(html: Column) -> Column:
 
 def _pieces(html: Column, tag: str, stop: str) -> Column:
     """What follows each opening ``<tag …>``, up to the next one or to the closing ``stop``."""
-    cut = F.split(html, rf"(?i)<{tag}(?=[\s>])")
+    pieces = cut_at(html, rf"(?i)<{tag}(?=[\s>])")
     inner = r"(?is)^" + REST + rf"(.*?)(?:</(?:{stop})\s*>|\z)"
-    return F.transform(F.slice(cut, 2, F.size(cut)), lambda piece: F.regexp_extract(piece, inner, 1))
+    later = bind(pieces, lambda all_: F.slice(all_, F.lit(2), F.size(all_)))
+    return F.transform(later, lambda piece: F.regexp_extract(piece, inner, 1))
 
 
 def cells(row: Column) -> Column:

@@ -5,53 +5,58 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import blank_to_null, clean_value, strip
+from tidemark.functions.text import SPACE, strip
 
 DIGITS = "[0-9](?:_?[0-9])*"
-INTEGER = rf"^[+-]?{DIGITS}\z"
-DECIMAL = rf"^[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?\z"
-SPECIAL = r"(?i)^[+-]?(?:inf|infinity|nan)\z"
-MINUTES = r"^[0-9]+'\z"
+INTEGER = rf"^{SPACE}*[+-]?{DIGITS}{SPACE}*\z"
+DECIMAL = (
+    rf"^{SPACE}*[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?{SPACE}*\z"
+)
+SPECIAL = rf"(?i)^{SPACE}*[+-]?(?:inf|infinity|nan){SPACE}*\z"
+MINUTES = rf"^{SPACE}*[0-9]+'{SPACE}*\z"
 
 
 def _plain(value: Column) -> Column:
-    return F.replace(value, F.lit("_"), F.lit(""))
+    return F.replace(strip(value), F.lit("_"), F.lit(""))
+
+
+def _without(value: Column, mark: str) -> Column:
+    return F.replace(value, F.lit(mark), F.lit(""))
 
 
 def parse_float(value: Column) -> Column:
     """Double, or null where the text is no number. Java-only spellings (1d, 0x1p3) are none."""
-    text = strip(value)
-    return (
-        F.when(text.rlike(DECIMAL), _plain(text).try_cast("double"))
-        .when(text.rlike(SPECIAL), F.regexp_replace(text, r"^[+-](?=[nN])", "").try_cast("double"))
+    special = F.regexp_replace(strip(value), r"^[+-](?=[nN])", "")
+    return F.when(value.rlike(DECIMAL), _plain(value).try_cast("double")).when(
+        value.rlike(SPECIAL), special.try_cast("double")
     )
 
 
 def parse_int(value: Column) -> Column:
     """Long, or null where the text is no whole number (``3.0`` is not one)."""
-    text = strip(value)
-    return F.when(text.rlike(INTEGER), _plain(text).try_cast("bigint"))
+    return F.when(value.rlike(INTEGER), _plain(value).try_cast("bigint"))
 
 
 def to_float(value: Column) -> Column:
-    return parse_float(F.replace(value, F.lit(","), F.lit("")))
+    return parse_float(_without(value, ","))
 
 
 def to_int(value: Column) -> Column:
-    """Through double, cut towards zero: ``3.7`` is 3. Infinite and out-of-range give null."""
-    number = to_float(value)
-    return F.when(~F.isnan(number), number.try_cast("bigint"))
+    """Through double, cut towards zero: ``3.7`` is 3.
+
+    Not a number, infinite and out of range give null, as ``try_cast`` has it.
+    """
+    return to_float(value).try_cast("bigint")
 
 
 def looks_like_minutes(value: Column) -> Column:
-    return clean_value(value).rlike(MINUTES)
+    return F.coalesce(value.rlike(MINUTES), F.lit(False))
 
 
 def parse_minutes(value: Column) -> Column:
-    return to_int(F.replace(clean_value(value), F.lit("'"), F.lit("")))
+    return to_int(_without(value, "'"))
 
 
 def parse_stat(value: Column) -> Column:
     """A count cell: plain number or minute mark."""
-    text = blank_to_null(clean_value(value))
-    return F.when(text.rlike(MINUTES), parse_minutes(text)).otherwise(to_int(text))
+    return to_int(F.when(value.rlike(MINUTES), _without(value, "'")).otherwise(value))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,12 +14,17 @@ SPACE = "[" + "".join(f"\\x{{{ord(char):x}}}" for char in SPACES) + "]"
 NAME_RANK = r"(?d)^(.*?)" + SPACE + r"*\(([0-9]+)\.\)\z"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(value: Column) -> Column:
     return F.btrim(value, F.lit(SPACES))
 
 
 def blank_to_null(value: Column) -> Column:
-    return F.nullif(value, F.lit(""))
+    return F.when(value != "", value)
 
 
 def clean_value(value: Column) -> Column:
@@ -80,11 +87,14 @@ def strip_shirt_number(heading: Column) -> Column:
 
 def split_name_rank(value: Column) -> Column:
     """``Leverkusen (6.)`` becomes (Leverkusen, 6); without a rank the text stays whole."""
-    text = strip(value)
-    ranked = text.rlike(NAME_RANK)
-    return F.struct(
-        F.when(ranked, strip(F.regexp_extract(text, NAME_RANK, 1)))
-        .otherwise(blank_to_null(text))
-        .alias("name"),
-        F.when(ranked, F.regexp_extract(text, NAME_RANK, 2).try_cast("bigint")).alias("rank"),
-    )
+
+    def parts(text: Column) -> Column:
+        ranked = text.rlike(NAME_RANK)
+        return F.struct(
+            F.when(ranked, strip(F.regexp_extract(text, NAME_RANK, 1)))
+            .otherwise(blank_to_null(text))
+            .alias("name"),
+            F.when(ranked, F.regexp_extract(text, NAME_RANK, 2).try_cast("bigint")).alias("rank"),
+        )
+
+    return bind(strip(value), parts)

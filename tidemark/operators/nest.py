@@ -32,9 +32,21 @@ def nest_rows(
     )
 
 
-def flatten_rows(documents: DataFrame, rows: str, keep: list[str] | None = None) -> DataFrame:
+def each_row(df: DataFrame, rows: str, keep: list, position: str = "_at") -> DataFrame:
+    """One line per array element: ``keep``, ``position`` (from 0) and ``_row``.
+
+    The outer form, then a filter: for the inner form Spark infers a filter on
+    the array's size and pushes it, with the whole expression that builds the
+    array, below the projection, so a computed array would be built again.
+    """
+    listed = df.select(*keep, F.posexplode_outer(rows).alias(position, "_row"))
+    return listed.filter(F.col(position).isNotNull())
+
+
+def flatten_rows(documents: DataFrame, rows: str, keep: list | None = None) -> DataFrame:
     """Rows of every document; an empty array gives none."""
-    return documents.select(*(keep or []), F.inline(rows))
+    names = [c.name for c in documents.select(*(keep or [])).schema.fields] if keep else []
+    return each_row(documents, rows, keep or []).select(*names, "_row.*")
 
 
 def map_rows(documents: DataFrame, rows: str, change: Callable[[Column], Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from tidemark.functions import urls as U
 from tidemark.functions.cells import is_match_table, match_rows
 from tidemark.functions.text import blank_to_null, clean_value, collapse_spaces, slug_to_name, team_key
 from tidemark.operators.lookups import first_name
+from tidemark.operators.nest import each_row, flatten_rows
 
 
 def _others(df: DataFrame, *names: str) -> list[str]:
@@ -18,7 +19,8 @@ def _others(df: DataFrame, *names: str) -> list[str]:
 
 def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """Every anchor: pos, href, title, text."""
-    return pages.select(*_others(pages, html), F.inline(H.anchors(F.col(html))))
+    kept = _others(pages, html)
+    return flatten_rows(pages.withColumn("_found", H.anchors(F.col(html))), "_found", kept)
 
 
 def _first_by_id(df: DataFrame, found: str) -> DataFrame:
@@ -71,10 +73,8 @@ def squad_players(pages: DataFrame, base_url: str, html: str = "html") -> DataFr
         pages, base_url, html,
         lambda a: F.contains(a["href"], F.lit(U.PLAYER_LINK)), U.player_parts,
     )
-    first = _first_by_id(found, "_found").select(
-        *_others(pages, html), F.posexplode("_found").alias("pos", "_entry")
-    )
-    link = F.col("_entry.link")
+    first = each_row(_first_by_id(found, "_found"), "_found", _others(pages, html), "pos")
+    link = F.col("_row.link")
     return first.select(
         *_others(pages, html), "pos",
         first_name(collapse_spaces(link["text"]), slug_to_name(link["slug"])).alias("player_name"),
@@ -96,10 +96,8 @@ def league_clubs(
         & (U.club_link_season(a["href"]) == F.col(season)),
         U.club_parts,
     )
-    first = _first_by_id(found, "_found").select(
-        *_others(pages, html), F.posexplode("_found").alias("pos", "_entry")
-    )
-    link = F.col("_entry.link")
+    first = each_row(_first_by_id(found, "_found"), "_found", _others(pages, html), "pos")
+    link = F.col("_row.link")
     name = first_name(
         clean_value(link["title"]), collapse_spaces(link["text"]), slug_to_name(link["slug"])
     )
@@ -116,8 +114,11 @@ def league_clubs(
 def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
     """Every table row of every page: table_no, row_no, cells."""
     kept = _others(pages, html)
-    by_table = pages.select(*kept, F.posexplode(H.tables(F.col(html))).alias("table_no", "_rows"))
-    return by_table.select(*kept, "table_no", F.posexplode("_rows").alias("row_no", "cells"))
+    by_table = each_row(
+        pages.withColumn("_tables", H.tables(F.col(html))), "_tables", kept, "table_no"
+    )
+    rows = each_row(by_table, "_row", [*kept, "table_no"], "row_no")
+    return rows.select(*kept, "table_no", "row_no", F.col("_row").alias("cells"))
 
 
 def match_table_numbers(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -165,7 +166,7 @@ def match_rows_of(
 ) -> DataFrame:
     """Match rows of every page, one per line."""
     read = read_match_pages(pages, player_name, player_id, season, competition, html)
-    return read.select(*keep, F.inline("player_stats"))
+    return flatten_rows(read, "player_stats", keep)
 
 
 def player_snapshots(

@@ -17,9 +17,11 @@ from tidemark.functions import html as H
 from tidemark.functions import urls as U
 from tidemark.functions.text import entity_key, slug_to_name
 from tidemark.operators import pages as P
+from tidemark.operators.lookups import label
+from tidemark.operators.nest import flatten_rows
 from tidemark.plans import season_load
 from tidemark.plans.queries.registry import query, table
-from tidemark.session import workspace
+from tidemark.session import spread, workspace
 
 SITE = "https://stats.example.com"
 
@@ -101,7 +103,7 @@ def order_pages(spark: SparkSession, d: str) -> DataFrame:
         "o_orderkey AS page_id", "o_custkey", "o_orderstatus", "o_orderkey", "o_orderdate",
         "o_orderpriority",
     )
-    facts = orders.withColumns({name: F.expr(sql) for name, sql in FACTS.items()}).withColumn(
+    facts = spread(orders).withColumns({name: F.expr(sql) for name, sql in FACTS.items()}).withColumn(
         "day", F.expr(DAY_SPARK)
     )
     return facts.select(
@@ -171,8 +173,6 @@ SELECT c_custkey,
 FROM customer
 """)
 def url_build(spark: SparkSession, d: str) -> DataFrame:
-    from tidemark.operators.lookups import label
-
     base, number = F.lit(SITE), F.col("c_custkey").cast("string")
     season = (F.lit(2000) + F.col("c_nationkey")).cast("string")
     league = F.col("c_mktsegment")
@@ -392,7 +392,7 @@ def read_pages(spark: SparkSession, d: str) -> DataFrame:
 @query("page_to_rows", f"WITH {FACTS_SQL}, {MATCHES_SQL} SELECT * FROM matches".replace(
     "STRING", "VARCHAR"))
 def page_to_rows(spark: SparkSession, d: str) -> DataFrame:
-    return read_pages(spark, d).select("page_id", F.inline("player_stats"))
+    return flatten_rows(read_pages(spark, d), "player_stats", ["page_id"])
 
 
 @query("page_outcome", f"""
@@ -420,8 +420,6 @@ FROM facts
 def page_snapshot(spark: SparkSession, d: str) -> DataFrame:
     """One snapshot document per page; a page without rows keeps the name of its address."""
     labels = {str(year): f"{year}/{year + 1}" for year in range(1990, 2010)}
-    from tidemark.operators.lookups import label
-
     documents = P.player_snapshots(
         read_pages(spark, d), F.col("team"), F.col("season"), label(F.col("season"), labels),
         F.lit("club"), slug_to_name(F.col("slug")), F.col("player_id"), F.lit("now"), ["page_id"],

@@ -95,7 +95,7 @@ def slice_outcome(spark: SparkSession, d: str) -> DataFrame:
     events = sliced_events(spark, d)
     days = F.sequence(F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 1, 30)))
     requested = events.select("user_id").distinct().select(
-        "user_id", F.explode(days).cast("string").alias("scrape_date")
+        "user_id", F.explode(days.cast("array<string>")).alias("scrape_date")
     )
     return gates.slice_outcomes(requested, events, ["user_id", "scrape_date"], 3)
 

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE does the run-time half of the skew story: it splits hot join partitions,
 # splits hot output partitions behind a ``rebalance`` hint and merges small ones.
@@ -28,6 +28,15 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core, for rows that cost far more to work on than to move.
+
+    A table read from enough splits passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 @functools.cache
 def _one_machine_root() -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
