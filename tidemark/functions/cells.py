@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import is_match_date
 from tidemark.functions.numbers import parse_minutes, parse_stat, to_float, to_int
-from tidemark.functions.text import bind, blank_to_null
+from tidemark.functions.text import bind, blank_to_null, first_index
 from tidemark.schemas import MATCH_COUNTS, MATCH_MINUTES
 
 # --- fixed values ---------------------------------------------------------------
@@ -68,8 +68,7 @@ def is_status_row(values: Column) -> Column:
 
 def result_index(values: Column) -> Column:
     """Zero-based position of the first score cell, null without one."""
-    hit = F.array_position(F.transform(values, lambda cell: cell.rlike(RESULT)), F.lit(True))
-    return F.when(hit > 0, (hit - 1).cast("int"))
+    return first_index(values, lambda cell: cell.rlike(RESULT))
 
 
 # --- contents -----------------------------------------------------------------------

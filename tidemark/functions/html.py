@@ -100,24 +100,20 @@ def text_of(fragment: Column) -> Column:
 
 def attributes(opening: Column, *names: str) -> Column:
     """struct of attributes of an opening tag: '' without a value, null when absent."""
-    body = F.regexp_replace(opening, r"(?is)^<[a-z0-9]+|>\z", "")
-    found = bind(
-        body,
-        lambda text: F.struct(
-            F.transform(F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(1)), F.lower).alias("names"),
-            F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(2)).alias("values"),
-        ),
-    )
+    pairs = F.regexp_extract_all(opening, F.lit(ATTRIBUTE), F.lit(0))
+
+    def value(pair: Column) -> Column:
+        given = F.regexp_extract(pair, r"(?s)=\s*(.*)\z", 1)
+        return unescape(F.regexp_replace(given, r"""(?s)^(["'])(.*)\1\z""", "$2"))
 
-    def picked(pairs: Column) -> Column:
-        def value(name: str) -> Column:
-            at = F.array_position(pairs["names"], F.lit(name)).cast("int")
-            quoted = F.get(pairs["values"], at - 1)
-            return unescape(F.regexp_replace(quoted, r"""(?s)^(["'])(.*)\1\z""", "$2"))
+    def picked(all_: Column) -> Column:
+        def named(name: str) -> Column:
+            same = F.filter(all_, lambda pair: pair.rlike(rf"(?i)^{name}(?![^\s=])"))
+            return bind(F.try_element_at(same, F.lit(-1)), value)
 
-        return F.struct(*[value(name).alias(name) for name in names])
+        return F.struct(*[named(name).alias(name) for name in names])
 
-    return bind(found, picked)
+    return bind(pairs, picked)
 
 
 def anchors(html: Column) -> Column:

@@ -9,7 +9,20 @@ from pyspark.sql import functions as F
 
 # Everything Python calls white space; Spark's trim only knows the blank.
 SPACES = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
-SPACE = "[" + "".join(f"\\x{{{ord(char):x}}}" for char in SPACES) + "]"
+
+
+def _class(chars: str) -> str:
+    """Character class of sorted characters, neighbours as ranges: the matcher tests every part."""
+    runs: list[list[int]] = []
+    for code in map(ord, chars):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in runs) + "]"
+
+
+SPACE = _class(SPACES)
 
 NAME_RANK = r"(?d)^(.*?)" + SPACE + r"*\(([0-9]+)\.\)\z"
 
@@ -19,6 +32,11 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def first_index(values: Column, test: Callable[[Column], Column]) -> Column:
+    """Zero-based position of the first element that passes, null if none does."""
+    return F.array_min(F.transform(values, lambda value, at: F.when(test(value), at)))
+
+
 def strip(value: Column) -> Column:
     return F.btrim(value, F.lit(SPACES))
 

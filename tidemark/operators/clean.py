@@ -49,23 +49,23 @@ def typed_columns(
     }
     casts = {c: cast for c, cast in casts.items() if c in texts}
 
+    # each number is read once, beside its text, and takes the text's place afterwards
+    read = df.withColumns({f"_{c}": cast for c, cast in casts.items()})
+
     def bad(name: str) -> Column:
-        return F.col(name).isNotNull() & casts[name].isNull()
-
-    if strict:
-        return df.withColumns(
-            {
-                c: F.when(
-                    bad(c),
-                    F.raise_error(F.concat(F.lit(f"{c} is no number: "), F.col(c))).cast(
-                        "double" if c in floats else "bigint"
-                    ),
-                ).otherwise(cast)
-                for c, cast in casts.items()
-            }
-        )
-    rejected = F.array_compact(F.array(*[F.when(bad(c), F.lit(c)) for c in casts]))
-    return df.withColumns({REJECTED: rejected, **casts})
+        return F.col(name).isNotNull() & F.col(f"_{name}").isNull()
+
+    def settled(name: str) -> Column:
+        if not strict:
+            return F.col(f"_{name}")
+        refused = F.raise_error(F.concat(F.lit(f"{name} is no number: "), F.col(name)))
+        kind = "double" if name in floats else "bigint"
+        return F.when(bad(name), refused.cast(kind)).otherwise(F.col(f"_{name}"))
+
+    changed = {c: settled(c) for c in casts}
+    if not strict:
+        changed[REJECTED] = F.array_compact(F.array(*[F.when(bad(c), F.lit(c)) for c in casts]))
+    return read.withColumns(changed).drop(*[f"_{c}" for c in casts])
 
 
 def project(df: DataFrame, schema: T.StructType, extra: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import html as H
 from tidemark.functions import urls as U
 from tidemark.functions.cells import is_match_table, match_rows
-from tidemark.functions.text import blank_to_null, clean_value, collapse_spaces, slug_to_name, team_key
+from tidemark.functions.text import (
+    clean_value, collapse_spaces, first_index, slug_to_name, team_key,
+)
 from tidemark.operators.lookups import first_name
 from tidemark.operators.nest import each_row, flatten_rows
 
@@ -123,11 +125,8 @@ def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def match_table_numbers(pages: DataFrame, html: str = "html") -> DataFrame:
     """table_no of the first table that looks like a match table; null without one."""
-    looks = F.transform(H.tables(F.col(html)), is_match_table)
-    at = F.array_position(looks, F.lit(True))
-    return pages.select(
-        *_others(pages, html), F.when(at > 0, (at - 1).cast("int")).alias("table_no")
-    )
+    at = first_index(H.tables(F.col(html)), is_match_table)
+    return pages.select(*_others(pages, html), at.alias("table_no"))
 
 
 def read_match_pages(
