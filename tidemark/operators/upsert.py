@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import HISTORY_ROW, NATURAL_KEY, SLICE
+from tidemark.session import workspace
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -46,13 +47,17 @@ def merge_metrics(target: DataFrame, source: DataFrame, keys: list[str] = NATURA
     )
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table by path; a table never written is empty.
 
     The schema is given, so partition values such as a season stay text.
     """
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder, files = _folder(spark, path)
     if not files.exists(folder):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
@@ -79,12 +84,20 @@ def upsert_table(
 ) -> None:
     """Upsert into the table, reading and rewriting only the partitions the source touches.
 
-    The new files stand beside the old ones until all tasks are done, so a lost
-    executor only repeats its tasks, and running the load again changes nothing
-    (for keys without nulls). Swapping the folders at the end is not atomic over
-    several partitions; a driver lost in that moment leaves the finished files
-    in the table's staging folder.
+    The source is first written out beside the other work tables: it is used
+    three times, its deduplication runs once, and its slices are then partition
+    values. The new files of the table stand beside the old ones until all tasks
+    are done, so a lost executor only repeats its tasks, and running the load
+    again changes nothing (for keys without nulls). Swapping the folders at the
+    end is not atomic over several partitions; a driver lost in that moment
+    leaves the finished files in the table's staging folder.
     """
-    target = read_table(spark, path, schema)
-    touched = target.join(source.select(*by).distinct(), by, "left_semi")
-    overwrite_partitions(upsert(touched.select(*schema.fieldNames()), source, keys), path, by)
+    names = schema.fieldNames()
+    landing = workspace(spark, "landing")
+    overwrite_partitions(source.select(*names), landing, by)
+    landed = read_table(spark, landing, schema).select(*names)
+    slices = landed.select(*by).distinct()
+    touched = read_table(spark, path, schema).join(slices, by, "left_semi").select(*names)
+    overwrite_partitions(upsert(touched, landed, keys), path, by)
+    folder, files = _folder(spark, landing)
+    files.delete(folder, True)

@@ -8,7 +8,9 @@ what came later is the new load.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import audit
@@ -19,7 +21,7 @@ from tidemark.operators.upsert import (
 from tidemark.plans.queries.registry import query, table
 from tidemark.session import workspace
 
-CUT = "1998-07-01"
+CUT = dt.datetime(1998, 7, 1)
 KEYS = ["team", "season", "player_id", "matchday"]
 BY = ["team", "season"]
 
@@ -48,8 +50,9 @@ UNION ALL SELECT * FROM new
 """
 
 
-def staged_lines(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").select(
+def staged_lines(spark: SparkSession, d: str, which: Column | None = None) -> DataFrame:
+    lines = table(spark, d, "lineitem")
+    return (lines if which is None else lines.filter(which)).select(
         F.col("l_returnflag").alias("team"),
         F.col("l_linestatus").alias("season"),
         F.col("l_orderkey").alias("player_id"),
@@ -63,10 +66,10 @@ def staged_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def history_and_load(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    lines = staged_lines(spark, d)
+    shipped = F.col("l_shipdate")
     return (
-        keep_latest(lines.filter(F.col("transformed_at") < CUT), KEYS, "transformed_at"),
-        keep_latest(lines.filter(F.col("transformed_at") >= CUT), KEYS, "transformed_at"),
+        keep_latest(staged_lines(spark, d, shipped < F.lit(CUT)), KEYS, "transformed_at"),
+        keep_latest(staged_lines(spark, d, shipped >= F.lit(CUT)), KEYS, "transformed_at"),
     )
 
 
