@@ -100,7 +100,8 @@ def matches_selector(name: Column, slug: Column, wanted: str | None) -> Column:
 
 
 def strip_shirt_number(heading: Column) -> Column:
-    return blank_to_null(strip(F.regexp_replace(heading, r"^#[0-9]+" + SPACE + "+", "")))
+    name = strip(F.regexp_replace(heading, r"^#[0-9]+" + SPACE + "+", ""))
+    return bind(name, blank_to_null)
 
 
 def split_name_rank(value: Column) -> Column:

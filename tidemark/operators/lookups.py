@@ -81,4 +81,4 @@ def resolve_teams(requests: DataFrame, known: DataFrame, strict: bool = False) -
 
 def first_name(*candidates: Column) -> Column:
     """First non-blank name."""
-    return F.coalesce(*[blank_to_null(c) for c in candidates])
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates])

@@ -18,17 +18,58 @@ def nest_rows(
 
     ``position`` numbers the rows of a document from 0. A document of more than
     ``rows_per_part`` rows is kept as several parts (``part_no``), cut by that
-    number, so no task ever holds more than one part of it as an array;
-    ``flatten_rows`` gives the same rows either way.
+    number, so no task ever holds more than one part of it as an array. Where
+    positions repeat, a part may still be too full; such parts are found by a
+    count over the keys and cut further (``piece_no``). Whatever the cuts,
+    ``flatten_rows`` gives all rows back.
     """
     part = F.floor(F.col(position) / F.lit(rows_per_part)).cast("bigint")
-    row = F.struct(F.col(position).alias("_pos"), *[F.col(c) for c in columns])
-    nested = df.groupBy(*keys, part.alias("part_no")).agg(
-        F.array_sort(F.collect_list(row)).alias(into)
+    parted = df.select(
+        *keys, part.alias("part_no"),
+        F.struct(F.col(position).alias("_pos"), *[F.col(c) for c in columns]).alias("_doc_row"),
     )
-    return nested.withColumn(
-        into,
-        F.transform(into, lambda r: F.struct(*[r[c].alias(c) for c in columns])),
+    by = [*keys, "part_no"]
+    overfull = (
+        df.select(*keys, part.alias("part_no")).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > rows_per_part)
+        .select(*by, F.ceil(F.col("_n") / F.lit(rows_per_part)).cast("bigint").alias("_pieces"))
+    )
+    if overfull.isEmpty():
+        cut = parted.select(*by, F.lit(0).cast("bigint").alias("piece_no"), "_doc_row")
+        nested = cut.groupBy(*by, "piece_no").agg(F.collect_list("_doc_row").alias(into))
+    else:
+        copies = _cut_pieces(parted.join(overfull, by, "left"), by, rows_per_part)
+        nested = copies.groupBy(*by, "piece_no").agg(
+            F.flatten(F.collect_list(F.array_repeat("_doc_row", F.col("_copies")))).alias(into)
+        )
+    fields = F.transform(
+        F.array_sort(into), lambda row: F.struct(*[row[c].alias(c) for c in columns])
+    )
+    return nested.withColumn(into, fields)
+
+
+def _cut_pieces(rows: DataFrame, by: list[str], size: int) -> DataFrame:
+    """Rows with piece_no and a number of copies of at most ``size``.
+
+    Different rows of a part go to pieces by their contents, so a repeated task
+    cuts alike; equal rows, which no hash can part, are counted before the
+    shuffle and dealt out as numbers.
+    """
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1).cast("bigint"))
+    dealt = rows.select(
+        *by, pieces.alias("_pieces"), F.pmod(F.xxhash64("_doc_row"), pieces).alias("_piece"),
+        "_doc_row",
+    )
+    counted = dealt.groupBy(*by, "_pieces", "_piece", "_doc_row").agg(
+        F.count(F.lit(1)).alias("_all")
+    )
+    rounds = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_all") - 1) / F.lit(size)))
+    return counted.select("*", F.explode(rounds).alias("_round")).select(
+        *by,
+        (F.col("_piece") + F.col("_round") * F.col("_pieces")).alias("piece_no"),
+        "_doc_row",
+        F.least(F.lit(size).cast("bigint"), F.col("_all") - F.col("_round") * size)
+        .cast("int").alias("_copies"),
     )
 
 
