@@ -13,15 +13,17 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import bind, strip, strip_shirt_number
+from tidemark.functions.text import SPACE, bind, strip, strip_shirt_number
 
 REST = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ANY_TAG = r"(?s)</?[a-zA-Z]" + REST + r"|<[!?][^>]*>"
-ANCHOR = r"(?is)<a(?=[\s>])" + REST + r".*?(?:</a\s*>|\z)"
+# Each pattern starts with a plain "<", so the search skips from tag to tag.
+HIDDEN = r"(?s)<(?:!--.*?-->|(?i:script)\b.*?</(?i:script)\s*>|(?i:style)\b.*?</(?i:style)\s*>)"
+ANY_TAG = r"(?s)<(?:/?[a-zA-Z]" + REST + r"|[!?][^>]*>)"
+ANCHOR = r"(?s)<[aA](?=[\s>])" + REST + r".*?(?:</[aA]\s*>|\z)"
 OPENING = r"(?is)^<[a-z0-9]+" + REST
 ATTRIBUTE = r"""(?s)([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
-HEADING = r"(?is)<h1(?=[\s>])" + REST + r"(.*?)(?:</h1\s*>|\z)"
+HEADING = r"(?s)<[hH]1(?=[\s>])" + REST + r"(.*?)(?:</[hH]1\s*>|\z)"
+OUTER_SPACE = rf"^{SPACE}|{SPACE}\z"
 ENTITY = r"(?s)&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?|[^&]+|&"
 
 ENTITIES = {name: chr(code) for name, code in name2codepoint.items()}
@@ -88,10 +90,15 @@ def visible(html: Column) -> Column:
 def text_of(fragment: Column) -> Column:
     """All text pieces, each stripped, joined by one blank."""
 
+    def stripped(text: Column) -> Column:
+        return F.when(text.rlike(OUTER_SPACE), strip(text)).otherwise(text)
+
     def whole(text: Column) -> Column:
-        pieces = F.transform(cut_at(text, ANY_TAG), lambda piece: strip(unescape(piece)))
+        pieces = F.transform(
+            F.transform(cut_at(text, ANY_TAG), lambda piece: unescape(piece)), stripped
+        )
         plain = ~F.contains(text, F.lit("<")) & ~F.contains(text, F.lit("&"))
-        return F.when(plain, strip(text)).otherwise(
+        return F.when(plain, stripped(text)).otherwise(
             F.array_join(F.filter(pieces, lambda piece: piece != ""), " ")
         )
 
@@ -135,7 +142,7 @@ def anchors(html: Column) -> Column:
 
 
 def has_heading(html: Column) -> Column:
-    return visible(html).rlike(r"(?is)<h1(?=[\s>])")
+    return visible(html).rlike(r"<[hH]1(?=[\s>])")
 
 
 def heading(html: Column) -> Column:
@@ -145,10 +152,12 @@ def heading(html: Column) -> Column:
 
 def _pieces(html: Column, tag: str, stop: str) -> Column:
     """What follows each opening ``<tag …>``, up to the next one or to the closing ``stop``."""
-    pieces = cut_at(html, rf"(?i)<{tag}(?=[\s>])")
-    inner = r"(?is)^" + REST + rf"(.*?)(?:</(?:{stop})\s*>|\z)"
+    pieces = cut_at(html, rf"<(?i:{tag})(?=[\s>])")
+    inner, closed = r"(?s)^" + REST + r"(.*)", rf"(?s)</(?i:{stop})\s*>.*"
     later = bind(pieces, lambda all_: F.slice(all_, F.lit(2), F.size(all_)))
-    return F.transform(later, lambda piece: F.regexp_extract(piece, inner, 1))
+    return F.transform(
+        later, lambda piece: F.regexp_replace(F.regexp_extract(piece, inner, 1), closed, "")
+    )
 
 
 def cells(row: Column) -> Column:
