@@ -10,7 +10,7 @@ from tidemark.operators.dedup import keep_latest, top_n
 from tidemark.operators.fanout import work_list
 from tidemark.operators.upsert import merge_metrics, read_table, upsert, upsert_table
 from tidemark.plans import season_load
-from tidemark.schemas import CLEAN_COLUMNS, HISTORY_ROW, NATURAL_KEY, RAW_ROW
+from tidemark.schemas import CLEAN_COLUMNS, HISTORY_ROW, RAW_ROW
 from tidemark.session import workspace
 
 NOW = dt.datetime(2026, 3, 27, 12, tzinfo=dt.timezone.utc)

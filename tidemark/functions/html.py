@@ -141,10 +141,6 @@ def anchors(html: Column) -> Column:
     return F.transform(F.regexp_extract_all(visible(html), F.lit(ANCHOR), F.lit(0)), parsed)
 
 
-def has_heading(html: Column) -> Column:
-    return visible(html).rlike(r"<[hH]1(?=[\s>])")
-
-
 def heading(html: Column) -> Column:
     """Text of the first ``<h1>``, without a leading shirt number; null where there is none."""
     return strip_shirt_number(text_of(F.regexp_extract(visible(html), HEADING, 1)))

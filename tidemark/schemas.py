@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 # --- fixed values: column names and their order are the data contract ---------
 
-MATCH_TEXT_HEAD = ["player_name", "player_id", "season", "competition_code"]
 MATCH_COUNTS = [
     "goals", "assists", "own_goals", "yellow_cards", "second_yellow_red_cards", "red_cards",
 ]
