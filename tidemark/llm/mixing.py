@@ -102,6 +102,26 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return whole.join(edge, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
 
 
+def _sized(docs: DataFrame) -> DataFrame:
+    return hand_over(
+        docs.select("doc_id", "source", words(F.col("text")).alias("size"), unit_hash(F.col("doc_id")).alias("hash")),
+        "mix-sizes",
+    )
+
+
+def _limits(sized: DataFrame, weights: Sequence[int], share: tuple[int, int]) -> DataFrame:
+    """One written row per source, small enough for Spark to send to all tasks unless sources are many."""
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = hand_over(source_targets(sizes, weights, share), "mix-targets")
+    limits = thresholds(sized, targets).withColumnsRenamed({"source": "of", "copies": "whole"})
+    return hand_over(limits, "mix-thresholds")
+
+
+def _copies(hash_: Column) -> Column:
+    once_more = hash_ <= F.coalesce(F.col("upto"), F.lit(-1))
+    return (F.col("whole") + F.when(once_more, 1).otherwise(0)).cast("long")
+
+
 def mix(
     docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2)
 ) -> DataFrame:
@@ -110,21 +130,25 @@ def mix(
     ``copies`` says how often the mix takes the row (0, 1 or 2), ``taken`` the words this gives.
     Rows with one id stand or fall together; a null source is a source of its own, a null text has
     size 0, a null id is an id. Documents are taken whole, so a source misses its target by less
-    than half of its document at the threshold. Only ids, sources and sizes are shuffled.
+    than its document at the threshold has words. Only ids, sources and sizes are shuffled.
     """
-    sized = hand_over(
-        docs.select("doc_id", "source", words(F.col("text")).alias("size"), unit_hash(F.col("doc_id")).alias("hash")),
-        "mix-sizes",
-    )
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = hand_over(source_targets(sizes, weights, share), "mix-targets")
-    limits = thresholds(sized, targets).withColumnRenamed("source", "of")
-    limits = hand_over(limits, "mix-thresholds")
-    once_more = F.col("hash") <= F.coalesce(F.col("upto"), F.lit(-1))
-    copies = (F.col("copies") + F.when(once_more, 1).otherwise(0)).cast("long")
-    joined = sized.join(limits, F.col("source").eqNullSafe(F.col("of")))
+    sized = _sized(docs)
+    joined = sized.join(_limits(sized, weights, share), F.col("source").eqNullSafe(F.col("of")))
+    joined = joined.withColumn("copies", _copies(F.col("hash")))
     return joined.select(
-        "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def mixed(
+    docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2)
+) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it takes it."""
+    limits = _limits(_sized(docs), weights, share).select("of", "whole", "upto")
+    joined = docs.join(limits, F.col("source").eqNullSafe(F.col("of")))
+    taken = joined.withColumn("_copies", _copies(unit_hash(F.col("doc_id")))).filter(F.col("_copies") > 0)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(
+        *[docs[c] for c in docs.columns]
     )
 
 

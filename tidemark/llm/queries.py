@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import jaccard_join, line_dedup, mixing, order_minhash, token_counts, toxicity
+from tidemark.llm import bpe, jaccard_join, line_dedup, mixing, order_minhash, token_counts, toxicity
 from tidemark.llm.common import read
 
 #: Name of a tokenizer file to its path; a parameter, so another installation can give another one.
@@ -31,6 +31,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(read(spark, sf_dir, "documents"), tokenizer(WORDS))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components_report(read(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_line_dedup, op8_jaccard_join, op9_toxicity, op10_order_minhash)
+    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_line_dedup, op4_bpe, op8_jaccard_join, op9_toxicity, op10_order_minhash)
 }
 
 ORACLE: dict[str, str] = {

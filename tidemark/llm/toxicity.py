@@ -20,8 +20,8 @@ from tidemark.llm.common import hand_over, mix, texts, word_hashes
 BITS = 20
 #: Labelled texts to learn from, at most (the smallest hashes of their ids).
 SAMPLE = 12_000
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 2.0, 1.0
+EPOCHS = 5
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 10.0, 0.0
 CUT = 0.3
 
 _U = np.uint64
