@@ -26,8 +26,8 @@ BITMAP_BITS = 1 << 25
 
 _U = np.uint64
 _PRIME = 0x9E3779B97F4A7C15
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -99,7 +99,7 @@ def _block_words(raw: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def word_hashes(
-    docs: list[bytes], gaps: np.ndarray = _SPACE, lower: bool = False
+    docs: list[bytes], gaps: np.ndarray = SPACE, lower: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts in order, and where each text's words begin (n + 1 values).
 

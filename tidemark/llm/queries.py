@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, jaccard_join, line_dedup, mixing, order_minhash, token_counts, toxicity
+from tidemark.llm import (
+    bpe, jaccard_join, licenses, line_dedup, lm_scores, mixing, order_minhash, quality, token_counts, toxicity,
+)
 from tidemark.llm.common import read
 
 #: Name of a tokenizer file to its path; a parameter, so another installation can give another one.
@@ -35,6 +37,18 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents"), tokenizer(WORDS))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(read(spark, sf_dir, "documents"))
+
+
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.lm_scores(read(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components_report(read(spark, sf_dir, "documents"))
 
@@ -48,7 +62,11 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_line_dedup, op4_bpe, op8_jaccard_join, op9_toxicity, op10_order_minhash)
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_mixing, op3_line_dedup, op4_bpe, op5_quality, op6_licenses, op7_lm_scores,
+        op8_jaccard_join, op9_toxicity, op10_order_minhash,
+    )
 }
 
 ORACLE: dict[str, str] = {
