@@ -36,6 +36,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The rows as one struct ``doc``, so whatever columns they have cannot clash with an operator's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
 def hand_over(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back.
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hand_over
+from tidemark.llm.common import hand_over, packed
 
 BLANKS = " \t\n\x0b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -30,15 +30,15 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(BLANKS)), _UPPER, _LOWER)
 
 
-def _row_key() -> list[Column]:
+def _row_key(doc_id: Column, text: Column) -> list[Column]:
     """Tells rows with one id and different texts apart."""
-    return [F.col("doc_id"), F.xxhash64("text").alias("text_hash"), F.length("text").alias("text_chars")]
+    return [doc_id.alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.length(text).alias("text_chars")]
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = 2) -> DataFrame:
     """``doc_id, text_hash, text_chars, positions``: the lines each document loses, where it loses any."""
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
-        *_row_key(), F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key")
+        *_row_key(F.col("doc_id"), F.col("text")), F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key")
     )
     # two hashes with unlike seeds: 128 bits
     hashed = rows.filter(F.char_length("key") >= min_chars).select(
@@ -59,20 +59,17 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = 2)
     document: their common lines all stay if that id is the smallest holder. A null id neither loses
     lines nor counts as a holder; a null text is one empty line. If all lines go, the text is empty.
     """
-    lost = dropped_lines(docs, min_chars, min_docs).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("text_chars").alias("_chars"),
-        F.col("positions").alias("_positions"),
-    )
-    here = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")) & (F.length("text") == F.col("_chars"))
-    marked = docs.join(lost, here, "left").withColumn("_lines", lines_of(F.col("text")))
-    n_dropped = F.coalesce(F.size("_positions"), F.lit(0))
+    key = ["doc_id", "text_hash", "text_chars"]
+    own = packed(docs).select("doc", *_row_key(F.col("doc.doc_id"), F.col("doc.text")))
+    marked = own.join(dropped_lines(docs, min_chars, min_docs), key, "left").withColumn("lines", lines_of(F.col("doc.text")))
+    n_dropped = F.coalesce(F.size("positions"), F.lit(0))
     # positions that stay, in order; array_except keeps the order of its first array
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_positions"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
-    text = F.when(F.col("_positions").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(kept)
-    return marked.withColumns(
-        {"n_lines": F.size("_lines").cast("long"), "n_dropped": n_dropped.cast("long"), "kept_text": text}
-    ).select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")], "n_lines", "n_dropped", "kept_text")
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("positions"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("lines"), i)), "\n")
+    text = F.when(F.col("positions").isNull(), F.coalesce(F.col("doc.text"), F.lit(""))).otherwise(kept)
+    added = {"n_lines": F.size("lines").cast("long"), "n_dropped": n_dropped.cast("long"), "kept_text": text}
+    given = [F.col(f"doc.`{c}`") for c in docs.columns if c not in added]
+    return marked.select(*given, *[v.alias(k) for k, v in added.items()])
 
 
 def line_report(docs: DataFrame) -> DataFrame:

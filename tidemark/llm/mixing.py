@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hand_over
+from tidemark.llm.common import hand_over, packed
 
 #: The hash has 56 bits: four levels of 14, so a source's histogram has at most 16,384 rows.
 LEVELS, LEVEL_BITS = 4, 14
@@ -145,11 +145,9 @@ def mixed(
 ) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it takes it."""
     limits = _limits(_sized(docs), weights, share).select("of", "whole", "upto")
-    joined = docs.join(limits, F.col("source").eqNullSafe(F.col("of")))
-    taken = joined.withColumn("_copies", _copies(unit_hash(F.col("doc_id")))).filter(F.col("_copies") > 0)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(
-        *[docs[c] for c in docs.columns]
-    )
+    joined = packed(docs).join(limits, F.col("doc.source").eqNullSafe(F.col("of")))
+    taken = joined.withColumn("copies", _copies(unit_hash(F.col("doc.doc_id")))).filter(F.col("copies") > 0)
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
 
 ORACLE = r"""

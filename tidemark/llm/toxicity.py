@@ -8,11 +8,12 @@ that score. Scoring covers every whole text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import hand_over, mix, texts, word_hashes
@@ -119,36 +120,35 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     return slot[slot >= 0], weight[slot >= 0], float(weight[slot < 0].sum())
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
-    """Every column of ``docs`` with ``toxicity`` (0 to 1) added; a null text scores as an empty one."""
+def scorer(spark: SparkSession, model: tuple[np.ndarray, np.ndarray, float]) -> Callable[[Column], Column]:
+    """A function of a text column to its score, 0 to 1; a null text scores as an empty one.
+
+    What is sent to the tasks is the list of weights that are not zero.
+    """
     slots, weights, bias = model
-    packed = docs.sparkSession.sparkContext.broadcast((slots.astype(np.int32), weights.astype(np.float64), bias))
+    held = spark.sparkContext.broadcast((slots.astype(np.int32), weights.astype(np.float64), bias))
 
     @F.pandas_udf("double")
-    def toxicity(column):
-        held, value, start = packed.value
-        dense = np.zeros((1 << BITS))
-        dense[held] = value
-        import pandas as pd
-
-        out = np.empty(len(column))
-        at = 0
+    def toxicity(column: pd.Series) -> pd.Series:
+        used, value, start = held.value
+        dense = np.zeros(1 << BITS)
+        dense[used] = value
+        sums = []
         for _, raw in texts([pa.RecordBatch.from_arrays([pa.array(column, pa.string())], ["text"])]):
             words, first = word_hashes(raw, _GAPS, lower=True)
-            for a, b in zip(first, first[1:]):
-                sum_ = start + dense[features(words[a:b])].sum()
-                out[at] = 1.0 / (1.0 + np.exp(-np.clip(sum_, -35.0, 35.0)))
-                at += 1
-        return pd.Series(out)
+            sums += [dense[features(words[a:b])].sum() for a, b in zip(first, first[1:])]
+        return pd.Series(1.0 / (1.0 + np.exp(-np.clip(start + np.array(sums), -35.0, 35.0))))
 
-    return docs.withColumn("toxicity", toxicity(F.coalesce("text", F.lit(""))))
+    return lambda text: toxicity(F.coalesce(text, F.lit("")))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row of ``docs``; a null id is not held out."""
-    model = fit(docs, labels)
-    scored = score(docs.select("doc_id", "text"), model)
+    """``doc_id, held_out, score, predicted`` of every row of ``docs``; a null id is not held out.
+
+    Without usable labels every score is one half. Other columns are not looked at.
+    """
+    score = scorer(docs.sparkSession, fit(docs, labels))
+    scored = docs.select("doc_id", score(F.col("text")).alias("score"))
     return scored.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
-        (F.col("toxicity") >= CUT).cast("int").alias("predicted"),
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted")
     )
