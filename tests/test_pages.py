@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import html as H
+from tidemark.functions import numbers as N
 from tidemark.operators import pages as P
 from tidemark.operators.dedup import keep_first, keep_first_across
 
@@ -149,11 +150,40 @@ def test_markup_corners(values):
     ) == ["A €€é&lt;", "&unknown x", "y"]
     (got,) = values(
         ["<table><tr><td>a<td> b <tr><td><table><tr><td>1 &lt; 2</td></tr></table>"], H.tables)
-    assert got == [[["a", "b"], [""]], [["1 < 2"]]]
+    assert got == [[["a", "b"], ["1 < 2", "1 < 2"], ["1 < 2"]], [["1 < 2"]]]
     (anchors,) = values(["<a class=x href=/y/>t</a><A HREF='/w?a=1&amp;b' title>w</A><abbr>"], H.anchors)
     assert [(a.href, a.title, a.text) for a in anchors] == [("/y/", None, "t"), ("/w?a=1&b", "", "w")]
 
 
+def test_table_inside_a_table_loses_no_row(values):
+    inner = "<table><tr><td>in</td></tr></table>"
+    rows = "".join(f"<tr><td>{n}</td><td>x{inner if n == 2 else ''}y</td><td>z</td></tr>" for n in range(4))
+    (got,) = values([f"<table>{rows}</table>"], H.tables)
+    assert got == [
+        [["0", "xy", "z"], ["1", "xy", "z"], ["2", "x in y", "in", "z"], ["in"], ["3", "xy", "z"]], [["in"]],
+    ]
+    (got,) = values([f"<table><tr><td>a</td></tr>{inner}<tr><td>b</td></tr></table></table><table><tr><td>c"], H.tables)
+    assert got == [[["a"], ["in"], ["b"]], [["in"]], [["c"]]]
+    deep = "<table><tr><td>1<table><tr><td>2<table><tr><td>3</td></tr></table></td></tr></table>4</td></tr></table>"
+    (got,) = values([deep], H.tables)
+    assert got[0][0][0] == "1 2 3 4" and got[2] == [["3"]] and len(got) == 3
+
+
+def test_nul_cuts_nothing(values):
+    page = "\0<table><tr><td>a\0b</td>\0<td>c</td></tr>\0<tr><td>d</td></tr></table>\0"
+    assert values([page], H.tables) == [[[["ab", "c"], ["d"]]]]
+
+
+def test_long_tags_and_digits_kill_no_task(values):
+    many = " ".join(f'a{n}="{n}>"' for n in range(5000))
+    (got,) = values([f"<table {many}><tr><td {many}>x</td></tr></table><h1 {many}>n</h1>"], H.tables)
+    assert got == [[["x"]]]
+    (found,) = values([f"<a {many} href='/y'>t</a>"], H.anchors)
+    assert (found[0].href, found[0].text) == ("/y", "t")
+    long = "7" * 20_000
+    assert values([long, long + "x", "1_000", "1__0", "1_", "_1"], N.to_int) == [None, None, 1000, None, None, None]
+
+
 def test_unescape_knows_the_names(values):
     names = ["&quot;", "&euro;", "&Auml;", "&copy;", "&#x41;", "&#65", "&lt", "a & b", "&", "&;"]
     assert values(names, H.unescape) == [python_html.unescape(n) for n in names]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,11 +41,11 @@ def tail(values: Column, start: Column | int) -> Column:
 
 def is_dated(values: Column) -> Column:
     """Six cells, a whole number first (zero counts), a date second."""
-    return (
-        (F.size(values) >= MINIMUM_CELLS)
-        & to_int(F.get(values, F.lit(0))).isNotNull()
-        & is_match_date(F.get(values, F.lit(1)))
-    )
+    return (F.size(values) >= MINIMUM_CELLS) & _starts_dated(values)
+
+
+def _starts_dated(values: Column) -> Column:
+    return to_int(F.get(values, F.lit(0))).isNotNull() & is_match_date(F.get(values, F.lit(1)))
 
 
 def is_candidate(values: Column) -> Column:
@@ -51,9 +53,17 @@ def is_candidate(values: Column) -> Column:
     return is_dated(values) & (to_int(F.get(values, F.lit(0))) != 0)
 
 
-def is_match_table(rows: Column) -> Column:
-    """At least two dated rows among the first eight."""
-    return F.size(F.filter(F.slice(rows, 1, PROBED_ROWS), is_dated)) >= DATED_ROWS
+def is_match_table(rows: Column, text: Callable[[Column], Column] | None = None) -> Column:
+    """At least two dated rows among the first eight. ``text`` reads a cell, if they are not texts yet:
+    two cells of eight rows are all that is read."""
+
+    def dated(row: Column) -> Column:
+        if text is None:
+            return is_dated(row)
+        first = F.transform(F.slice(row, 1, 2), text)
+        return F.when(F.size(row) >= MINIMUM_CELLS, bind(first, lambda f: _starts_dated(f))).otherwise(F.lit(False))
+
+    return F.size(F.filter(F.slice(rows, 1, PROBED_ROWS), dated)) >= DATED_ROWS
 
 
 def is_status_row(values: Column) -> Column:

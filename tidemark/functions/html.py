@@ -2,20 +2,23 @@
 
 A page is one value, so everything found in it is bounded by that value and is
 worked on in place: no page is exploded, regrouped or shuffled to be read.
-Tables and rows are cut at their opening tags, so missing closing tags and a
-layout table around the real one do no harm.
+Rows and cells are cut at their opening tags, so missing closing tags do no
+harm. A table reaches to the closing tag of its own depth: what lies in a table
+inside it belongs to both.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import SPACE, bind, strip, strip_shirt_number
+from tidemark.functions.text import SPACE, bind, first_index, strip, strip_shirt_number
 
-REST = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
+# Possessive groups throughout: the engine repeats any other group by recursion, once per attribute.
+REST = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
 # Each pattern starts with a plain "<", so the search skips from tag to tag.
 HIDDEN = r"(?s)<(?:!--.*?-->|(?i:script)\b.*?</(?i:script)\s*>|(?i:style)\b.*?</(?i:style)\s*>)"
 ANY_TAG = r"(?s)<(?:/?[a-zA-Z]" + REST + r"|[!?][^>]*>)"
@@ -28,7 +31,7 @@ ENTITY = r"(?s)&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?|[^&]+|&"
 
 ENTITIES = {name: chr(code) for name, code in name2codepoint.items()}
 UNKNOWN = "\ufffd"
-CUT = "\x00"  # no page has this character: HTML does not allow it
+CUT = "\x00"  # taken out of a page before anything is cut there
 
 
 def cut_at(text: Column, pattern: str) -> Column:
@@ -83,8 +86,8 @@ def unescape(value: Column, names: dict[str, str] = ENTITIES) -> Column:
 
 
 def visible(html: Column) -> Column:
-    """The page without comments, scripts and styles; the cut leaves a tag, so texts stay apart."""
-    return F.regexp_replace(html, HIDDEN, "<!>")
+    """The page without NUL, comments, scripts and styles; the cut leaves a tag, so texts stay apart."""
+    return F.regexp_replace(F.translate(html, CUT, ""), HIDDEN, "<!>")
 
 
 def text_of(fragment: Column) -> Column:
@@ -141,9 +144,13 @@ def anchors(html: Column) -> Column:
     return F.transform(F.regexp_extract_all(visible(html), F.lit(ANCHOR), F.lit(0)), parsed)
 
 
+def page_heading(page: Column) -> Column:
+    return strip_shirt_number(text_of(F.regexp_extract(page, HEADING, 1)))
+
+
 def heading(html: Column) -> Column:
     """Text of the first ``<h1>``, without a leading shirt number; null where there is none."""
-    return strip_shirt_number(text_of(F.regexp_extract(visible(html), HEADING, 1)))
+    return page_heading(visible(html))
 
 
 def _pieces(html: Column, tag: str, stop: str) -> Column:
@@ -156,13 +163,103 @@ def _pieces(html: Column, tag: str, stop: str) -> Column:
     )
 
 
-def cells(row: Column) -> Column:
-    return F.transform(_pieces(row, "td", "td|tr|table"), text_of)
+# --- tables -------------------------------------------------------------------------
+
+TABLE_MARK = r"<(?=/?(?i:table)[\s>])"
+OPENS = r"^[tT]"
+#: Tags of an inner table get another name while the outer one is read.
+INNER = "x-"
+INNER_PART = r"<(/?)(?=(?i:tr|td)[\s>])"
+
+
+def _levels(marks: Column) -> Column:
+    """How many tables are open behind each mark (``table …`` or ``/table …``)."""
+
+    def step(seen: Column, mark: Column) -> Column:
+        last = F.element_at(seen, -1)
+        return F.concat(seen, F.array(F.when(mark.rlike(OPENS), last + 1).otherwise(F.greatest(last - 1, F.lit(0)))))
+
+    return F.aggregate(marks, F.array(F.lit(0)), step, lambda seen: F.slice(seen, F.lit(2), F.size(seen)))
+
+
+def _spans(page: Column) -> Column:
+    """What each table of a page holds, in the order of the opening tags.
+
+    The page is cut at its table tags. A table holds the pieces from its own tag to the first one
+    behind which fewer tables are open. Rows and cells of the tables inside are renamed.
+    """
+
+    def of(parts: Column) -> Column:
+        marks, levels = parts["marks"], parts["levels"]
+
+        def span(mark: Column, at: Column) -> Column:
+            own = F.get(levels, at)
+            rest = F.slice(levels, at + 2, F.size(levels))
+            length = F.coalesce(first_index(rest, lambda level: level < own), F.size(rest)) + 1
+            part = F.arrays_zip(
+                F.slice(marks, at + 1, length).alias("mark"), F.slice(levels, at + 1, length).alias("level")
+            )
+            renamed = F.transform(
+                part,
+                lambda p, i: F.when(i == 0, F.regexp_extract(p["mark"], r"(?s)^" + REST + "(.*)", 1))
+                .when(p["level"] > own, F.concat(F.lit("<" + INNER), F.regexp_replace(p["mark"], INNER_PART, "<$1" + INNER)))
+                .otherwise(F.concat(F.lit("<" + INNER), p["mark"])),
+            )
+            return F.when(mark.rlike(OPENS), F.array_join(renamed, ""))
+
+        return F.filter(F.transform(marks, span), lambda s: s.isNotNull())
+
+    pieces = cut_at(page, TABLE_MARK)
+    marks = bind(pieces, lambda all_: F.slice(all_, F.lit(2), F.size(all_)))
+    return bind(
+        bind(marks, lambda m: F.struct(m.alias("marks"), _levels(m).alias("levels"))), of
+    )
+
+
+def _none(kind: str) -> Column:
+    return F.array().cast(kind)
+
+
+def _inside(piece: Column, tag: str, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the rows or cells that inner tables put into a piece; null without any."""
+    inner = _pieces(piece, INNER + tag, INNER + tag)
+    return F.when(F.contains(piece, F.lit("<" + INNER)), F.transform(inner, use))
+
+
+def _cells(row: Column) -> Column:
+    """Cells of a row, each followed by the cells inside it."""
+    own = _pieces(row, "td", "td|tr")
+    return F.flatten(
+        F.transform(own, lambda c: F.concat(F.array(c), F.coalesce(_inside(c, "td", lambda i: i), _none("array<string>"))))
+    )
+
+
+def _rows(table: Column) -> Column:
+    """Rows of a table, each followed by the rows inside it."""
+
+    def of(piece: Column, at: Column) -> Column:
+        after_tag = F.regexp_extract(piece, r"(?s)^" + REST + r"(.*)", 1)
+        own = F.regexp_replace(after_tag, r"(?s)</(?i:tr)\s*>.*", "")
+        inner = _inside(piece, "tr", lambda row: _pieces(row, INNER + "td", f"{INNER}td|{INNER}tr"))
+        return F.concat(
+            F.when(at > 0, F.array(_cells(own))).otherwise(_none("array<array<string>>")), F.coalesce(inner, _none("array<array<string>>"))
+        )
+
+    return F.flatten(F.transform(cut_at(table, r"<(?i:tr)(?=[\s>])"), of))
+
+
+def raw_tables(page: Column) -> Column:
+    """array<table: array<row: array<cell>>> of a visible page; cells as they are written.
+
+    As in the page's tree, rows and cells of a table inside another one are found in both.
+    """
+    return F.transform(_spans(page), _rows)
+
+
+def cell_texts(table: Column) -> Column:
+    return F.transform(table, lambda row: F.transform(row, text_of))
 
 
 def tables(html: Column) -> Column:
     """array<table: array<row: array<cell text>>> of one page."""
-    return F.transform(
-        _pieces(visible(html), "table", "table"),
-        lambda table: F.transform(_pieces(table, "tr", "tr|table"), cells),
-    )
+    return F.transform(raw_tables(visible(html)), cell_texts)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import SPACE, strip
 
-DIGITS = "[0-9](?:_?[0-9])*"
+# Possessive groups: the engine repeats any other group by recursion, once per digit.
+DIGITS = "[0-9]++(?:_[0-9]++)*+"
 INTEGER = rf"^{SPACE}*[+-]?{DIGITS}{SPACE}*\z"
 DECIMAL = (
     rf"^{SPACE}*[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?{SPACE}*\z"

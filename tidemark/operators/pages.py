@@ -125,7 +125,7 @@ def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def match_table_numbers(pages: DataFrame, html: str = "html") -> DataFrame:
     """table_no of the first table that looks like a match table; null without one."""
-    at = first_index(H.tables(F.col(html)), is_match_table)
+    at = first_index(H.raw_tables(H.visible(F.col(html))), lambda rows: is_match_table(rows, H.text_of))
     return pages.select(*_others(pages, html), at.alias("table_no"))
 
 
@@ -138,12 +138,18 @@ def read_match_pages(
     A page that cannot be read is an outcome and an empty array, not a failed run.
     The name is the page's heading, else the given one.
     """
-    staged = pages.withColumns(
+    seen = pages.withColumn("_page", H.visible(F.col(html)))
+    found = seen.withColumns(
         {
-            "_table": F.get(F.filter(H.tables(F.col(html)), is_match_table), F.lit(0)),
-            "_heading": H.heading(F.col(html)),
+            "_raw": F.get(
+                F.filter(H.raw_tables(F.col("_page")), lambda rows: is_match_table(rows, H.text_of)), F.lit(0)
+            ),
+            "_heading": H.page_heading(F.col("_page")),
         }
-    ).withColumn("player_name", first_name(F.col("_heading"), player_name))
+    )
+    staged = found.withColumns(
+        {"_table": H.cell_texts(F.col("_raw")), "player_name": first_name(F.col("_heading"), player_name)}
+    )
     head = {
         "player_name": F.col("player_name"), "player_id": player_id,
         "season": season, "competition_code": competition,
@@ -156,7 +162,7 @@ def read_match_pages(
             .otherwise("ok"),
             "player_stats": F.coalesce("player_stats", F.array()),
         }
-    ).drop("_table", "_heading")
+    ).drop("_table", "_heading", "_page", "_raw")
 
 
 def match_rows_of(

@@ -45,6 +45,10 @@ FACTS = {
     "away": "'Club & Sons ' || o_custkey",
     "name": "CASE WHEN o_orderkey % 10 <> 0 THEN 'Player & Son ' || o_custkey END",
     "slug": "'player-' || o_custkey",
+    # some pages have a table inside the match table, a NUL between rows, a tag with 5,000
+    # attributes, and a first cell of 20,000 digits
+    "nested": "CASE WHEN o_orderkey % 16 = 7 THEN 1 ELSE 0 END",
+    "total": "CASE WHEN o_orderkey % 1000 = 3 THEN repeat('7', 20000) ELSE 'sum' END",
 }
 DAY_SPARK = (
     "CASE o_orderkey % 3 WHEN 0 THEN date_format(o_orderdate, 'MMM d, yyyy')"
@@ -79,9 +83,10 @@ PAGE = """concat(
  '<li><a title="" href="/fc-', page_id, '/startseite/verein/', page_id + 1000000000, '/saison_id/', season,
  '"> </a></li></ul>',
  '<table><tr><td>Name</td><td>', o_custkey, '</td></tr></table>',
- '<TABLE CLASS="x"><tr><td>', md, '<td>', day, '<td>a<td>b<td>c<td>d<tr><td>sum<td><td><td><td><td></TABLE>',
+ '<TABLE CLASS="x"><tr><td>', md, '<td>', day, '<td>a<td>b<td>c<td>d<tr><td>', total, '<td><td><td><td><td></TABLE>',
+ CASE WHEN page_id % 12 = 5 THEN '\\0' ELSE '' END,
  '<table class="items"><thead><tr><th>Day</th><th>Date</th></tr></thead><tbody>\\n',
- '<tr class="odd"><td class="zentriert">\\n ', md, ' </td><td>', day, '</td>',
+ '<tr class="odd"', CASE WHEN page_id % 1000 = 3 THEN repeat(' a="b>"', 5000) ELSE '' END, '><td class="zentriert">\\n ', md, ' </td><td>', day, '</td>',
  CASE WHEN venue IS NULL THEN '' ELSE '<td>H</td>' END,
  '<td><a href="/h" title="a > b">', home, '</a></td>',
  '<td>Club <b>&amp; Sons</b> ', o_custkey, '</td><td><a href="/m"><span>', score, '</span></a></td><td>', pos, '</td>',
@@ -89,7 +94,9 @@ PAGE = """concat(
  '<td>', red, '</td><td>', CASE WHEN venue IS NULL THEN '' ELSE concat(minute, '&#39;') END, '</td><td></td>',
  '<td>', rating, '</td><td>', minute, '\\'</td>',
  CASE WHEN page_id % 6 = 0 THEN '<td>late</td><td> </td><td>sub</td>' ELSE '' END, '</tr>\\n',
- '<tr><td>1</td><td>', day, '</td><td>short</td></tr>',
+ '<tr><td>1</td><td>', day, '</td><td>short',
+ CASE WHEN nested = 1 THEN '<table><tr><td>in</td></tr></table>' ELSE '' END, '</td></tr>',
+ CASE WHEN page_id % 12 = 5 THEN '\\0' ELSE '' END,
  CASE WHEN kind IN (0, 4) THEN '' ELSE concat(
    '<tr><td>', CASE WHEN kind = 1 THEN 0 ELSE md + 1 END, '</td><td>', day,
    '</td><td>A</td><td></td><td></td><td></td><td>Calf problems</td><td></td><td>', o_orderstatus, '</td></tr>',
@@ -257,16 +264,19 @@ STAT_TEXTS = """goals || '|' || regexp_replace(format('{:,}', o_custkey), '\\s',
 WITH {FACTS_SQL}, listed AS (
   SELECT page_id, 0 AS table_no, 0 AS row_no, 2 AS n, 'Name|' || o_custkey AS texts FROM facts
   UNION ALL SELECT page_id, 1, 0, 6, md || '|' || day || '|a|b|c|d' FROM facts
-  UNION ALL SELECT page_id, 1, 1, 6, 'sum|||||' FROM facts
+  UNION ALL SELECT page_id, 1, 1, 6, total || '|||||' FROM facts
   UNION ALL SELECT page_id, 2, 0, 0, '' FROM facts
   UNION ALL SELECT page_id, 2, 1,
       16 + CASE WHEN venue IS NULL THEN 0 ELSE 1 END + CASE WHEN page_id % 6 = 0 THEN 3 ELSE 0 END,
       md || '|' || day || '|' || coalesce(venue || '|', '') || home || '|' || away || '|' || score || '|' || pos
       || '|' || {STAT_TEXTS} || CASE WHEN page_id % 6 = 0 THEN '|late||sub' ELSE '' END FROM facts
-  UNION ALL SELECT page_id, 2, 2, 3, '1|' || day || '|short' FROM facts
-  UNION ALL SELECT page_id, 2, 3, 9, CASE WHEN kind = 1 THEN 0 ELSE md + 1 END || '|' || day
+  UNION ALL SELECT page_id, 2, 2, 3 + nested, '1|' || day || '|short' || CASE WHEN nested = 1 THEN ' in|in' ELSE '' END
+    FROM facts
+  UNION ALL SELECT page_id, 2, 3, 1, 'in' FROM facts WHERE nested = 1
+  UNION ALL SELECT page_id, 3, 0, 1, 'in' FROM facts WHERE nested = 1
+  UNION ALL SELECT page_id, 2, 3 + nested, 9, CASE WHEN kind = 1 THEN 0 ELSE md + 1 END || '|' || day
       || '|A||||Calf problems||' || o_orderstatus FROM facts WHERE {FULL}
-  UNION ALL SELECT page_id, 2, 4, 6, CASE WHEN kind = 1 THEN 0 ELSE md + 2 END || '|' || day
+  UNION ALL SELECT page_id, 2, 4 + nested, 6, CASE WHEN kind = 1 THEN 0 ELSE md + 2 END || '|' || day
       || '|x|y|postponed|z' FROM facts WHERE {FULL})
 SELECT * FROM listed
 """.replace("STRING", "VARCHAR"))
@@ -290,8 +300,8 @@ def table_detect(spark: SparkSession, d: str) -> DataFrame:
 WITH {FACTS_SQL}, listed AS (
   SELECT page_id, 1 AS table_no, 0 AS row_no, md AS first_cell, false AS scored FROM facts
   UNION ALL SELECT page_id, 2, 1, md, true FROM facts
-  UNION ALL SELECT page_id, 2, 3, md + 1, false FROM facts WHERE {FULL}
-  UNION ALL SELECT page_id, 2, 4, md + 2, false FROM facts WHERE {FULL})
+  UNION ALL SELECT page_id, 2, 3 + nested, md + 1, false FROM facts WHERE {FULL}
+  UNION ALL SELECT page_id, 2, 4 + nested, md + 2, false FROM facts WHERE {FULL})
 SELECT listed.page_id, table_no, row_no, CAST(first_cell AS VARCHAR) AS matchday, scored
 FROM listed JOIN facts USING (page_id) WHERE kind <> 1
 """.replace("STRING", "VARCHAR"))
@@ -346,7 +356,7 @@ def stat_cells(spark: SparkSession, d: str) -> DataFrame:
 
 @query("status_rows", f"""
 WITH {FACTS_SQL}
-SELECT page_id, 3 AS row_no, 'A' AS venue, 'Calf problems ' || o_orderstatus AS note
+SELECT page_id, 3 + nested AS row_no, 'A' AS venue, 'Calf problems ' || o_orderstatus AS note
 FROM facts WHERE {FULL}
 """.replace("STRING", "VARCHAR"))
 def status_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -375,7 +385,7 @@ matches AS (
     CASE WHEN page_id % 6 = 0 THEN 'late sub' END AS note
   FROM facts WHERE {VALID}
   UNION ALL
-  SELECT page_id, 3, coalesce(name, 'Player ' || o_custkey), CAST(o_custkey AS VARCHAR), season, 'GB1',
+  SELECT page_id, 3 + nested, coalesce(name, 'Player ' || o_custkey), CAST(o_custkey AS VARCHAR), season, 'GB1',
     md + 1, day, 'A', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
     'Calf problems ' || o_orderstatus
   FROM facts WHERE {VALID})
