@@ -8,7 +8,8 @@ from tidemark.functions.dates import utc_stamp
 from tidemark.operators import audit, clean, gates, lookups, nest, selection
 from tidemark.operators.dedup import keep_latest, top_n
 from tidemark.operators.fanout import work_list
-from tidemark.operators.upsert import merge_metrics, read_table, upsert, upsert_table
+from tidemark.operators import upsert as upsert_module
+from tidemark.operators.upsert import merge_metrics, read_history, upsert, upsert_table
 from tidemark.plans import season_load
 from tidemark.schemas import CLEAN_COLUMNS, HISTORY_ROW, RAW_ROW
 from tidemark.session import workspace
@@ -111,20 +112,62 @@ def test_upsert_twice_changes_nothing_and_leaves_other_slices(spark):
     old = spark.createDataFrame(
         [("u", "1", "p", "1", 0), ("v", "1", "p", "1", 0), ("u", "2024", "p", "1", 0)], ROW)
     upsert_table(spark, path, old, KEYS, ["team", "season"], schema)
-    before = {
-        r.f for r in spark.read.parquet(path).filter("team = 'v'")
-        .select(F.input_file_name().alias("f")).collect()}
+    def files(team):
+        rows = read_history(spark, path, schema).filter(F.col("team") == team)
+        return {r.f for r in rows.select(F.input_file_name().alias("f")).collect()}
+
+    before = files("v")
     new = spark.createDataFrame([("u", "1", "p", "1", 9), ("u", "1", "q", "1", 9)], ROW)
-    for _ in range(2):
-        upsert_table(spark, path, new, KEYS, ["team", "season"], schema)
-    got = read_table(spark, path, schema)
+    counted = [
+        rows_of(upsert_table(spark, path, new, KEYS, ["team", "season"], schema)) for _ in range(2)
+    ]
+    assert counted == [[("u", "1", 1, 1, 2)], [("u", "1", 0, 2, 2)]]
+    got = read_history(spark, path, schema)
     assert rows_of(got.select(*schema.fieldNames())) == sorted([
         ("u", "1", "p", "1", 9), ("u", "1", "q", "1", 9), ("u", "2024", "p", "1", 0),
         ("v", "1", "p", "1", 0)], key=str)
-    after = {
-        r.f for r in spark.read.parquet(path).filter("team = 'v'")
-        .select(F.input_file_name().alias("f")).collect()}
-    assert before == after
+    assert files("v") == before
+
+
+def test_upsert_reads_touched_slices_only(spark, monkeypatch):
+    path = workspace(spark, "history")
+    schema = spark.createDataFrame([], ROW).schema
+    old = spark.range(50).select(
+        F.concat(F.lit("t"), F.col("id")).alias("team"), F.lit("1").alias("season"), F.lit("p").alias("player_id"),
+        F.lit("1").alias("matchday"), F.lit(0).alias("goals"))
+    upsert_table(spark, path, old, KEYS, ["team", "season"], schema)
+    read = []
+    real = upsert_module._read_slices
+    monkeypatch.setattr(upsert_module, "_read_slices", lambda s, p, slices, k: read.append(slices) or real(s, p, slices, k))
+    new = spark.createDataFrame([("t7", "1", "p", "1", 9), ("new", "1", "p", "1", 9)], ROW)
+    upsert_table(spark, path, new, KEYS, ["team", "season"], schema)
+    assert [list(r) for r in read] == [["team=t7/season=1"]]
+    plan = read_history(spark, path, schema).filter("team = 't7'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(team" in plan
+
+
+def test_load_lost_before_the_switch_changes_nothing(spark, monkeypatch):
+    path = workspace(spark, "history")
+    schema = spark.createDataFrame([], ROW).schema
+    old = spark.createDataFrame([("u", "1", "p", "1", 0), ("a b", None, "p", "1", 0)], ROW)
+    upsert_table(spark, path, old, KEYS, ["team", "season"], schema)
+    new = spark.createDataFrame([("u", "1", "p", "1", 9)], ROW)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as at_switch:
+        at_switch.setattr(upsert_module, "_switch", lost)
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, path, new, KEYS, ["team", "season"], schema)
+    assert rows_of(read_history(spark, path, schema)) == rows_of(old)
+    upsert_table(spark, path, new, KEYS, ["team", "season"], schema)
+    upsert_table(spark, path, new, KEYS, ["team", "season"], schema)
+    assert rows_of(read_history(spark, path, schema)) == rows_of(
+        spark.createDataFrame([("u", "1", "p", "1", 9), ("a b", None, "p", "1", 0)], ROW))
+    # slices that no present or previous list names are gone
+    loads = upsert_module._partitions(spark, f"{path}/data", ["load", "team", "season"])
+    assert len(loads) == 3
 
 
 def test_hot_key_and_null_keys_beyond_broadcast(spark):
@@ -269,7 +312,7 @@ def test_load_end_to_end(spark):
             spark, spark.createDataFrame(list(pages), PAGE), tables, "site", now, date)
 
     big = match_page(range(1, 38))
-    summary, outcomes = load(
+    summary, outcomes, _ = load(
         NOW, "2026-03-27",
         ("u", "United", "2025", "GB1", "1", "One", "2026-03-27", big),
         ("u", "United", "2025", "GB1", "2", "Two", "2026-03-27", big),
@@ -282,13 +325,13 @@ def test_load_end_to_end(spark):
         "u": "ok", "v": "too few rows", "w": "no output"}
 
     later = dt.datetime(2026, 4, 20, tzinfo=dt.timezone.utc)
-    summary, _ = load(
+    summary, _, _ = load(
         later, "2026-04-20",
         ("u", "United", "2025", "GB1", "1", "One", "2026-04-20", match_page(range(1, 39))),
         ("u", "United", "2025", "GB1", "2", "Two", "2026-04-20", big),
     )
     assert rows_of(summary) == [("u", "2025", 75, 2, "2026-04-20")]
-    history = read_table(spark, tables.history, HISTORY_ROW)
+    history = read_history(spark, tables.history, HISTORY_ROW)
     assert audit.duplicate_keys(history).count() == 0
     row = history.filter("player_id = '1' and matchday = '5'").first()
     assert (row.season_label, row.match_date_iso, row.home_team_name, row.home_team_rank,
@@ -299,3 +342,41 @@ def test_load_end_to_end(spark):
 
     dates = read_staging(spark, tables.staging).select("bronze_scrape_date").distinct()
     assert rows_of(dates) == [("2026-04-20",)]
+
+
+def small_load(spark, tables, date, *pages, now=NOW):
+    frame = spark.createDataFrame([(t, t.upper(), "2025", "GB1", p, p, date, h) for t, p, h in pages], PAGE)
+    return season_load.run(spark, frame, tables, "site", now, date)
+
+
+def test_gate_counts_this_load_only(spark):
+    """A slice below the gate stays out however often it comes, and other slices are not staged again."""
+    from tidemark.sources.staging import read_staging
+
+    tables = season_load.Tables(workspace(spark, "twice"))
+    small_load(spark, tables, "2026-03-27", ("a", "1", match_page(range(1, 61))))
+    for _ in range(2):
+        result = small_load(spark, tables, "2026-03-27", ("b", "1", match_page(range(1, 31))))
+        assert rows_of(result.outcomes) == [("b", "2025", 30, "too few rows")]
+        assert rows_of(result.ingest) == [("b", "2025", 30, 0, 0, 0, 0)]
+        assert result.summary.count() == 0
+    staged = read_staging(spark, tables.staging).groupBy("team").count()
+    assert rows_of(staged) == [("a", 60), ("b", 60)]
+    assert rows_of(read_history(spark, tables.history).groupBy("team").count()) == [("a", 60)]
+
+
+def test_older_date_is_reported(spark):
+    tables = season_load.Tables(workspace(spark, "late"))
+    result = small_load(spark, tables, "2026-03-01", ("a", "1", match_page(range(1, 61))))
+    assert rows_of(result.outcomes) == [("a", "2025", 60, "ok")]
+    assert rows_of(result.ingest) == [("a", "2025", 60, 60, 0, 60, 60)]
+
+
+def test_players_delivered_one_after_the_other(spark):
+    tables = season_load.Tables(workspace(spark, "players"))
+    small_load(spark, tables, "2026-03-27", ("a", "1", match_page(range(1, 41))))
+    result = small_load(spark, tables, "2026-03-27", ("a", "2", match_page(range(1, 41))))
+    assert rows_of(result.ingest) == [("a", "2025", 80, 80, 0, 80, 80)]
+    again = small_load(spark, tables, "2026-03-27", ("a", "2", match_page(range(1, 42))))
+    assert rows_of(again.ingest) == [("a", "2025", 81, 1, 80, 81, 81)]
+    assert rows_of(again.summary) == [("a", "2025", 81, 2, "2026-03-27")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,13 +36,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str] = NATURAL_KEY)
 
 
 def merge_metrics(target: DataFrame, source: DataFrame, keys: list[str] = NATURAL_KEY) -> DataFrame:
-    """How many source rows update a target row and how many are new."""
-    keyed = target.select(*keys).filter(~_any_null(keys))
-    hits = source.select(*keys).filter(~_any_null(keys)).join(keyed, keys, "left_semi")
-    counted = hits.select(F.lit(1).alias("hit")).unionAll(source.select(F.lit(0).alias("hit")))
-    updated = F.coalesce(F.sum("hit"), F.lit(0))
-    total = F.count(F.when(F.col("hit") == 0, 1))
-    return counted.agg(
+    """How many source rows update a target row and how many are new, from one pass over each."""
+    known = target.select(*keys).filter(~_any_null(keys)).distinct().withColumn("_hit", F.lit(1))
+    marked = source.select(*keys).join(known, keys, "left")
+    updated = F.count("_hit")
+    total = F.count(F.lit(1))
+    return marked.agg(
         (total - updated).alias("rows_inserted"),
         updated.alias("rows_updated"),
         total.alias("rows_merged"),
@@ -78,26 +79,131 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
+# --- the history table ------------------------------------------------------------------
+#
+# path/data/load=<id>/<slice>/…   one folder per load and slice
+# path/slices/<number>            which load holds each slice; the largest number counts
+#
+# A load writes its folders first and the list of slices last, as one file. Until that file is
+# there, readers see the table as it was.
+
+LOAD = "load"
+
+
+def _lists(spark: SparkSession, path: str) -> list[int]:
+    folder, files = _folder(spark, f"{path}/slices")
+    found = files.listStatus(folder) if files.exists(folder) else []
+    names = [status.getPath().getName() for status in found]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def _slices(spark: SparkSession, path: str, number: int | None = None) -> dict[str, str]:
+    """Slice (as its folder is named) to load, one entry per partition of the table."""
+    numbers = _lists(spark, path)
+    if not numbers:
+        return {}
+    file, files = _folder(spark, f"{path}/slices/{number or numbers[-1]}")
+    stream = files.open(file)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def _switch(spark: SparkSession, path: str, slices: dict[str, str]) -> None:
+    """Make these the table's slices. The file gets its name when it is whole."""
+    numbers = _lists(spark, path)
+    number = numbers[-1] + 1 if numbers else 1
+    draft, files = _folder(spark, f"{path}/slices/.{uuid.uuid4().hex}")
+    stream = files.create(draft, True)
+    stream.write(json.dumps(slices).encode())
+    stream.close()
+    if not files.rename(draft, _folder(spark, f"{path}/slices/{number}")[0]):
+        raise RuntimeError(f"{path} was changed by another load")
+
+
+def _partitions(spark: SparkSession, path: str, by: list[str]) -> list[str]:
+    """Partition folders below a path, as ``a=1/b=2``."""
+    pattern, files = _folder(spark, "/".join([path, *[f"{c}=*" for c in by]]))
+    found = [status.getPath() for status in files.globStatus(pattern) or []]
+    return sorted("/".join(str(p).split("/")[-len(by):]) for p in found)
+
+
+def _read_slices(spark: SparkSession, path: str, slices: dict[str, str], schema: T.StructType) -> DataFrame:
+    if not slices:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/data/{LOAD}={load}/{name}" for name, load in sorted(slices.items())]
+    with_load = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])
+    rows = spark.read.schema(with_load).option("basePath", f"{path}/data").parquet(*folders)
+    return rows.select(*schema.fieldNames())
+
+
+def read_history(spark: SparkSession, path: str, schema: T.StructType = HISTORY_ROW) -> DataFrame:
+    """The table as the last finished load left it; a table never written is empty.
+
+    A filter on the partition columns prunes folders.
+    """
+    return _read_slices(spark, path, _slices(spark, path), schema)
+
+
+def _drop_unused(spark: SparkSession, path: str, by: list[str]) -> None:
+    """Remove what neither the present nor the previous list of slices names.
+
+    Readers that began before the last switch still find their files. Folders of a load that never
+    came to its switch go with the next load.
+    """
+    numbers = _lists(spark, path)
+    kept = {(load, name) for n in numbers[-2:] for name, load in _slices(spark, path, n).items()}
+    for name in _partitions(spark, f"{path}/data", [LOAD, *by]):
+        load, slice_ = name.split("/", 1)
+        if (load.removeprefix(f"{LOAD}="), slice_) not in kept:
+            folder, files = _folder(spark, f"{path}/data/{name}")
+            files.delete(folder, True)
+    for n in numbers[:-2]:
+        folder, files = _folder(spark, f"{path}/slices/{n}")
+        files.delete(folder, False)
+
+
 def upsert_table(
     spark: SparkSession, path: str, source: DataFrame, keys: list[str] = NATURAL_KEY,
     by: list[str] = SLICE, schema: T.StructType = HISTORY_ROW,
-) -> None:
-    """Upsert into the table, reading and rewriting only the partitions the source touches.
-
-    The source is first written out beside the other work tables: it is used
-    three times, its deduplication runs once, and its slices are then partition
-    values. The new files of the table stand beside the old ones until all tasks
-    are done, so a lost executor only repeats its tasks, and running the load
-    again changes nothing (for keys without nulls). Swapping the folders at the
-    end is not atomic over several partitions; a driver lost in that moment
-    leaves the finished files in the table's staging folder.
+) -> DataFrame:
+    """Upsert into the table, reading and writing only the slices the source touches.
+
+    The source is first written out beside the other work tables, by slice: its deduplication runs
+    once, and its folders say which slices of the table to read. The new slices are written into
+    folders of their own; the switch to them is one file. A load lost before it leaves the table as
+    it was, and running a load again changes nothing (for keys without nulls). One load at a time.
+
+    Returns ``by`` and rows_inserted, rows_updated, rows_merged of every slice touched.
     """
     names = schema.fieldNames()
     landing = workspace(spark, "landing")
     overwrite_partitions(source.select(*names), landing, by)
     landed = read_table(spark, landing, schema).select(*names)
-    slices = landed.select(*by).distinct()
-    touched = read_table(spark, path, schema).join(slices, by, "left_semi").select(*names)
-    overwrite_partitions(upsert(touched, landed, keys), path, by)
+    slices = _slices(spark, path)
+    load = uuid.uuid4().hex
+    fresh = f"{path}/data/{LOAD}={load}"
+    touched = {s: slices[s] for s in _partitions(spark, landing, by) if s in slices}
+    before = _read_slices(spark, path, touched, schema)
+    overwrite_partitions(upsert(before, landed, keys), fresh, by)
+    metrics = _slice_metrics(before, landed, keys, by)
+    _switch(spark, path, {**slices, **{s: load for s in _partitions(spark, fresh, by)}})
+    _drop_unused(spark, path, by)
     folder, files = _folder(spark, landing)
     files.delete(folder, True)
+    return metrics
+
+
+def _slice_metrics(before: DataFrame, landed: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """``merge_metrics`` by slice, worked out before the old slices can go (one row per slice)."""
+    known = before.select(*keys).filter(~_any_null(keys)).distinct().withColumn("_hit", F.lit(1))
+    marked = landed.select(*dict.fromkeys([*by, *keys])).join(known, keys, "left")
+    counted = marked.groupBy(*by).agg(
+        (F.count(F.lit(1)) - F.count("_hit")).alias("rows_inserted"),
+        F.count("_hit").alias("rows_updated"), F.count(F.lit(1)).alias("rows_merged"),
+    )
+    path = workspace(before.sparkSession, "metrics")
+    counted.write.parquet(path)
+    return before.sparkSession.read.schema(counted.schema).parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import audit
 from tidemark.operators.dedup import keep_first, keep_first_across, keep_latest, top_n
 from tidemark.operators.upsert import (
-    merge_metrics, overwrite_partitions, read_table, upsert, upsert_table,
+    merge_metrics, read_history, upsert, upsert_table,
 )
 from tidemark.plans.queries.registry import query, table
 from tidemark.session import workspace
@@ -98,10 +98,10 @@ def upsert_history_table(spark: SparkSession, d: str) -> DataFrame:
     for whole keys (rows with a null key are added again by rule, so the repeat leaves them out)."""
     history, load = history_and_load(spark, d)
     path = workspace(spark, "history")
-    overwrite_partitions(history, path, BY)
+    upsert_table(spark, path, history, KEYS, BY, history.schema)
     upsert_table(spark, path, load, KEYS, BY, history.schema)
     upsert_table(spark, path, load.filter(F.col("matchday").isNotNull()), KEYS, BY, history.schema)
-    return read_table(spark, path, history.schema)
+    return read_history(spark, path, history.schema)
 
 
 @query("merge_metrics", f"""
