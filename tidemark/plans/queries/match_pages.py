@@ -458,16 +458,21 @@ passed AS (SELECT * FROM keyed WHERE (team, season) IN (
 """
 
 
-def _loaded(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    pages = order_pages(spark, d).select(
+def _delivery(spark: SparkSession, d: str) -> DataFrame:
+    return order_pages(spark, d).select(
         "team", "season", "player_id", "html",
         F.concat(F.lit("Club "), F.col("team")).alias("club"),
         F.lit("GB1").alias("competition_code"),
         slug_to_name(F.col("slug")).alias("player_name"),
         F.lit(SCRAPED).alias("scrape_date"),
     )
+
+
+def _loaded(spark: SparkSession, d: str, now: dt.datetime = NOW, times: int = 1) -> season_load.Loaded:
     tables = season_load.Tables(workspace(spark, "load"))
-    return season_load.run(spark, pages, tables, "site", NOW, SCRAPED)
+    for _ in range(times):
+        done = season_load.run(spark, _delivery(spark, d), tables, "site", now, SCRAPED)
+    return done
 
 
 @query("season_load_summary", f"""
@@ -478,15 +483,47 @@ FROM passed GROUP BY ALL
 """.replace("STRING", "VARCHAR"))
 def season_load_summary(spark: SparkSession, d: str) -> DataFrame:
     """Pages, snapshots, cleaning, staging, gate, dedup, upsert, summary in one run."""
-    return _loaded(spark, d)[0]
+    return _loaded(spark, d).summary
 
 
-@query("season_load_outcome", f"""
+OUTCOME_SQL = f"""
 {LOADED_SQL}
 SELECT f.team, f.season, coalesce(k.n, 0) AS rows,
        CASE WHEN k.n IS NULL THEN 'no output' WHEN k.n < 50 THEN 'too few rows' ELSE 'ok' END AS status
 FROM (SELECT DISTINCT o_orderstatus AS team, season FROM facts) f
 LEFT JOIN (SELECT team, season, count(*) AS n FROM keyed GROUP BY ALL) k USING (team, season)
-""".replace("STRING", "VARCHAR"))
+""".replace("STRING", "VARCHAR")
+
+
+@query("season_load_outcome", OUTCOME_SQL)
 def season_load_outcome(spark: SparkSession, d: str) -> DataFrame:
-    return _loaded(spark, d)[1]
+    return _loaded(spark, d).outcomes
+
+
+@query("season_load_backfill", OUTCOME_SQL)
+def season_load_backfill(spark: SparkSession, d: str) -> DataFrame:
+    """A date past the retention: its staged rows go, its outcome is still that of this load."""
+    return _loaded(spark, d, NOW + dt.timedelta(days=26)).outcomes
+
+
+INGEST_SQL = f"""
+{LOADED_SQL}, merged AS (
+  SELECT team, season, count(DISTINCT (player_id, matchday)) AS n FROM passed GROUP BY ALL)
+SELECT f.team, f.season, coalesce(k.n, 0) AS rows_staged, INSERTED AS rows_inserted, UPDATED AS rows_updated,
+       coalesce(m.n, 0) AS rows_merged, coalesce(m.n, 0) AS rows_in_history
+FROM (SELECT DISTINCT o_orderstatus AS team, season FROM facts) f
+LEFT JOIN (SELECT team, season, count(*) AS n FROM keyed GROUP BY ALL) k USING (team, season)
+LEFT JOIN merged m USING (team, season)
+""".replace("STRING", "VARCHAR")
+
+
+@query("ingest_result", INGEST_SQL.replace("INSERTED", "coalesce(m.n, 0)").replace("UPDATED", "0::BIGINT"))
+def ingest_result(spark: SparkSession, d: str) -> DataFrame:
+    """Rows staged, merged and in history of every slice of a load."""
+    return _loaded(spark, d).ingest
+
+
+@query("season_load_twice", INGEST_SQL.replace("INSERTED", "0::BIGINT").replace("UPDATED", "coalesce(m.n, 0)"))
+def season_load_twice(spark: SparkSession, d: str) -> DataFrame:
+    """The same delivery again: slices below the gate stay out, all others change no key."""
+    return _loaded(spark, d, times=2).ingest
