@@ -246,9 +246,10 @@ def test_resolve_teams(spark):
     assert lookups.resolve_teams(whole, known, strict=True).count() == 2
 
 
-def test_large_label_tables_are_refused():
-    with pytest.raises(ValueError):
-        lookups.label(F.lit("x"), {str(i): "y" for i in range(300)})
+def test_large_label_tables(spark):
+    labels = {str(i): f"label \"{i}\"" for i in range(3000)}
+    got = spark.range(2999, 3001).select(lookups.label(F.col("id").cast("string"), labels).alias("l"))
+    assert rows_of(got) == sorted([('label "2999"',), ("3000",)], key=str)
 
 
 def test_work_list_and_top_n(spark):
@@ -271,7 +272,8 @@ def test_large_documents_are_cut_and_come_back_whole(spark):
     sizes = sorted(r[0] for r in documents.select(F.size("rows")).collect())
     assert sizes == [100, 500, 500, 500, 500, 500]
     assert nest.flatten_rows(documents, "rows", ["k"]).exceptAll(rows).count() == 0
-    found = audit.run_counters(documents, "rows", first_part=F.col("part_no") == 0).first()
+    first = (F.col("part_no") == 0) & (F.col("piece_no") == 0)
+    found = audit.run_counters(documents, "rows", first_part=first).first()
     assert tuple(found) == (1, 2600)
 
 

@@ -2,7 +2,9 @@
 
 All of them are ``row_number() <= n`` filters, which Spark runs as a
 ``WindowGroupLimit``: every map task first cuts its share of each key down to n
-rows, so a key holding a third of the data never meets in one task.
+rows, so a key holding a third of the data never meets in one task. Spark does
+so up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 unless set);
+for a larger ``n`` the answer is the same, but a hot key meets in one task.
 """
 
 from __future__ import annotations

@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import DEFAULT_CLUB_ID
 from tidemark.functions.text import blank_to_null, capitalize_words, team_key_to_slug
 
-LITERAL_LIMIT = 200
-
-
 def label(value: Column, labels: dict[str, str], default: Column | None = None) -> Column:
     """Configured label, else the default (the value itself).
 
-    Only for configuration-sized dictionaries, which become a literal in the
-    plan; a larger dimension is a DataFrame and goes through ``lookup_default``.
+    The dictionary becomes one literal of the plan; a dimension that grows with the data is a
+    DataFrame and goes through ``lookup_default``.
     """
-    if len(labels) > LITERAL_LIMIT:
-        raise ValueError(f"{len(labels)} labels: use lookup_default with a DataFrame")
     fallback = value if default is None else default
     if not labels:
         return fallback
-    table = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    table = F.from_json(F.lit(json.dumps(labels)), "map<string,string>")
     return F.coalesce(F.try_element_at(table, value), fallback)
 
 

@@ -1,4 +1,7 @@
-"""Queries by name, each with the SQL that must give the same rows."""
+"""Queries by name, each with the SQL that must give the same rows.
+
+Dates are UTC dates: the session's time zone is that of ``build_session``.
+"""
 
 from __future__ import annotations
 
@@ -17,12 +20,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         if name in QUERIES:
             raise ValueError(f"query {name} exists")
 
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # snapshot dates are UTC dates throughout
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
-
-        QUERIES[name] = run
+        QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return fn

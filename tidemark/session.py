@@ -29,12 +29,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core, for rows that cost far more to work on than to move.
-
-    A table read from enough splits passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Rows that cost far more to work on than to move, dealt evenly over the cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 @functools.cache
