@@ -16,6 +16,7 @@ from tidemark.functions import cells as C
 from tidemark.functions import html as H
 from tidemark.functions import urls as U
 from tidemark.functions.text import entity_key, slug_to_name
+from tidemark.operators import discovery
 from tidemark.operators import pages as P
 from tidemark.operators.lookups import label
 from tidemark.operators.nest import flatten_rows
@@ -527,3 +528,64 @@ def ingest_result(spark: SparkSession, d: str) -> DataFrame:
 def season_load_twice(spark: SparkSession, d: str) -> DataFrame:
     """The same delivery again: slices below the gate stay out, all others change no key."""
     return _loaded(spark, d, times=2).ingest
+
+
+# --- discovery -----------------------------------------------------------------------------
+
+
+def league_pages(spark: SparkSession, d: str) -> DataFrame:
+    pages = order_pages(spark, d)
+    return pages.select("page_id", F.lit("GB1").alias("league_id"), "season", "html")
+
+
+def roster_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Every page as the roster of its first club."""
+    pages = order_pages(spark, d)
+    return pages.select(
+        "page_id", F.concat(F.lit("club_"), F.col("player_id")).alias("team"), "season",
+        F.concat(F.lit("Club > "), F.col("player_id")).alias("club"), F.col("player_id").alias("club_id"), "html",
+    )
+
+
+SEASONS = [str(year) for year in range(2001, 1994, -1)]
+LABELS = {season: f"{season}/{int(season) + 1}" for season in SEASONS}
+
+
+@query("league_document", f"""
+WITH {FACTS_SQL}
+SELECT page_id, 'GB1' AS league_id, season, season || '/' || (CAST(season AS INT) + 1) AS season_label,
+  'now' AS scraped_at, 'club_' || o_custkey || ',fc_' || page_id AS teams, 2::BIGINT AS teams_found FROM facts
+""".replace("STRING", "VARCHAR"))
+def league_document(spark: SparkSession, d: str) -> DataFrame:
+    """One league snapshot per page, clubs in page order."""
+    documents = discovery.league_documents(league_pages(spark, d), SITE, F.lit("now"), LABELS)
+    return documents.withColumn("teams", F.array_join("teams.team_key", ","))
+
+
+@query("roster_document", f"""
+WITH {FACTS_SQL}
+SELECT page_id, 'club_' || o_custkey AS team, season, season || '/' || (CAST(season AS INT) + 1) AS season_label,
+  'Club > ' || o_custkey AS club, CAST(o_custkey AS VARCHAR) AS club_id, 'now' AS scraped_at,
+  'Player ' || o_custkey || CASE WHEN page_id <> o_custkey THEN ',Next ' || page_id ELSE '' END AS players
+FROM facts
+""".replace("STRING", "VARCHAR"))
+def roster_document(spark: SparkSession, d: str) -> DataFrame:
+    """One roster snapshot per page, players in page order."""
+    documents = discovery.roster_documents(roster_pages(spark, d), SITE, F.lit("now"), LABELS)
+    return documents.withColumn("players", F.array_join("players.player_name", ","))
+
+
+@query("discover_work_list", f"""
+WITH {FACTS_SQL}, players AS (
+  SELECT o_custkey, season, CAST(o_custkey AS VARCHAR) AS player_id, 'Player ' || o_custkey AS player_name FROM facts
+  UNION SELECT o_custkey, season, CAST(page_id AS VARCHAR), 'Next ' || page_id FROM facts WHERE page_id <> o_custkey)
+SELECT 'club_' || o_custkey AS team, season, player_id, min(player_name) AS player_name, 'club-' || o_custkey AS club_slug,
+  'GB1' AS competition_code
+FROM players GROUP BY ALL
+""".replace("STRING", "VARCHAR"))
+def discover_work_list(spark: SparkSession, d: str) -> DataFrame:
+    """League pages to clubs, roster pages to players, both to the list of player pages to read."""
+    leagues = discovery.league_documents(league_pages(spark, d), SITE, F.lit("now"), LABELS)
+    rosters = discovery.roster_documents(roster_pages(spark, d), SITE, F.lit("now"), LABELS)
+    work = discovery.discover(leagues, rosters, SEASONS)
+    return work.select("team", "season", "player_id", "player_name", "club_slug", "competition_code")
