@@ -20,8 +20,10 @@ space here; all of them are for the tokenizer too (checked when it is loaded).
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,10 @@ from tidemark.llm.common import bitmap_of, hand_over, in_bitmap, mix, texts
 WINDOW = 32
 #: A chunk is 2**CHUNK_BITS bytes long on average.
 CHUNK_BITS = 9
-#: Words whose tokens a task remembers, and the longest of them.
-MEMORY, MEMORABLE = 200_000, 64
+#: Words whose tokens a task remembers (twice as many at most), the longest of them, and how many are
+#: encoded in one call.
+MEMORY, MEMORABLE, TOGETHER = 120_000, 64, 500
+BORDER, BORDER_BYTE = "~", b"~"
 
 _U = np.uint64
 _GEAR = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
@@ -88,42 +92,81 @@ class Encoder:
     """Tokens of byte strings, by way of the words in them."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        plain = self._library(["ab cd"])[0]
+        plain = self._library("ab cd")
         for blank in " \t\n\x0b\f\r":
-            if self._library([f"ab{blank}cd"])[0] != plain or self._library([blank])[0]:
+            if self._library(f"ab{blank}cd") != plain or self._library(blank):
                 raise ValueError("the tokenizer does not drop white space; texts cannot be taken by words")
+        border = self._library(BORDER)
+        # a word of one token, which no word without that character has
+        self.border = border[0] if len(border) == 1 else None
+        self.strings = [str(i) for i in range(self.tokenizer.get_vocab_size())]
+        self.pieces = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
+        # words in use, and those in use before the last time the memory was full
         self.known: dict[bytes, list[int]] = {}
-
-    def _library(self, batch: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+        self.older: dict[bytes, list[int]] = {}
+
+    def _library(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _words(self, words: list[bytes]) -> list[list[int]]:
+        """Tokens of many words, none with ``BORDER`` in it, in few calls: it stands between them."""
+        if self.border is None:
+            return [self._library(w.decode("utf-8", "replace")) for w in words]
+        out: list[list[int]] = []
+        for a in range(0, len(words), TOGETHER):
+            ids = self._library(f" {BORDER} ".join(w.decode("utf-8", "replace") for w in words[a : a + TOGETHER]))
+            start = 0
+            for _ in range(min(TOGETHER, len(words) - a) - 1):
+                end = ids.index(self.border, start)
+                out.append(ids[start:end])
+                start = end + 1
+            out.append(ids[start:])
+        return out
 
     def learn(self, parts: list[bytes]) -> None:
-        """Remember the words of several strings, encoded in one batch."""
+        """Remember the words of several strings."""
         if len(self.known) > MEMORY:
-            self.known.clear()
-        new = {w for part in parts for w in part.split() if len(w) <= MEMORABLE and w not in self.known}
-        if new:
-            words = list(new)
-            self.known.update(zip(words, self._library([w.decode("utf-8", "replace") for w in words])))
+            self.known, self.older = {}, self.known
+        words = set().union(*(part.split() for part in parts)).difference(self.known)
+        new = []
+        for word in words:
+            if len(word) <= MEMORABLE and BORDER_BYTE not in word:
+                ids = self.older.get(word)
+                if ids is None:
+                    new.append(word)
+                else:
+                    self.known[word] = ids
+        self.known.update(zip(new, self._words(new)))
 
     def encode(self, part: bytes) -> list[int]:
-        out: list[int] = []
-        for word in part.split():
-            ids = self.known.get(word)
-            if ids is None:
-                ids = self._library([word.decode("utf-8", "replace")])[0]
-                if len(word) <= MEMORABLE:
-                    self.known[word] = ids
-            out += ids
-        return out
+        words = part.split()
+        try:
+            return list(chain.from_iterable(map(self.known.__getitem__, words)))
+        except KeyError:
+            return list(chain.from_iterable(map(self._word, words)))
+
+    def _word(self, word: bytes) -> list[int]:
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self._library(word.decode("utf-8", "replace"))
+            if len(word) <= MEMORABLE:
+                self.known[word] = ids
+        return ids
+
+    def ids_text(self, ids: list[int]) -> str:
+        return " ".join(map(self.strings.__getitem__, ids))
 
-    def decode(self, batch: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(batch, skip_special_tokens=False)
+    def decode(self, ids: list[int]) -> str:
+        """As the library decodes, special tokens included: without a decoder it joins the tokens."""
+        if self.tokenizer.decoder is None:
+            return " ".join(map(self.pieces.__getitem__, ids))
+        return self.tokenizer.decode(ids, skip_special_tokens=False)
 
 
 def _ends(chunk: bytes, ids: list[int], encoder: Encoder) -> tuple[bytes, list[int], bytes] | None:
@@ -204,8 +247,8 @@ _DONE = "row bigint, doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_
 
 
 def _digests(ids: list[list[int]], encoder: Encoder, names: list[str]) -> dict[str, pa.Array]:
-    text = [hashlib.sha256(" ".join(map(str, i)).encode()).hexdigest() for i in ids]
-    plain = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in encoder.decode(ids)]
+    text = [hashlib.sha256(encoder.ids_text(i).encode()).hexdigest() for i in ids]
+    plain = [hashlib.sha256(encoder.decode(i).encode("utf-8", "surrogatepass")).hexdigest() for i in ids]
     values = [pa.array([len(i) for i in ids], pa.int64()), pa.array(text, pa.string()), pa.array(plain, pa.string())]
     return dict(zip(names, values))
 
