@@ -116,7 +116,9 @@ def order_pages(spark: SparkSession, d: str) -> DataFrame:
     )
     return facts.select(
         "page_id", "season", F.col("o_orderstatus").alias("team"),
-        F.col("o_custkey").cast("string").alias("player_id"), "slug", F.expr(PAGE).alias("html"),
+        F.col("o_custkey").cast("string").alias("player_id"), "slug",
+        F.date_format(F.date_trunc("quarter", "o_orderdate"), "yyyy-MM-dd").alias("quarter"),
+        F.expr(PAGE).alias("html"),
     )
 
 

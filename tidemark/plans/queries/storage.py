@@ -121,6 +121,20 @@ def csv_string_scan(spark: SparkSession, d: str) -> DataFrame:
     return read.withColumn("text", F.md5("text")).drop("_path")
 
 
+@query("csv_plain_scan", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(text) AS text, CASE lang WHEN 'fr' THEN 'N/A' WHEN 'de' THEN '' ELSE lang END
+  AS note, source FROM documents
+""")
+def csv_plain_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The same scan without missing-value words: they stay text, and missing fields are empty."""
+    root = workspace(spark, "csv")
+    note = F.when(F.col("lang") == "fr", "N/A").when(F.col("lang") != "de", F.col("lang"))
+    documents = table(spark, d, "documents").select("doc_id", "text", note.alias("note"), "source")
+    tables.write_csv(documents, root, ["source"])
+    read = tables.read_csv(spark, root, ["doc_id", "text", "note"], ["source"], missing=False)
+    return read.withColumn("text", F.md5("text")).drop("_path")
+
+
 STAGED = T.StructType([
     T.StructField(name, T.StringType())
     for name in ("team", "season", "bronze_scrape_date", "player_id", "note")
