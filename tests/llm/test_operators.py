@@ -247,13 +247,13 @@ def _components(docs):
     return Counter((i, len(s), least.get(r) if s else i) for (i, _), s, r in zip(docs, sets, roots))
 
 
-@pytest.mark.parametrize("region_docs,block", [(2000, 512), (3, 4)])
-def test_jaccard(odd, odd_rows, none, monkeypatch, region_docs, block):
-    monkeypatch.setattr(jaccard_join, "REGION_DOCS", region_docs)
-    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+@pytest.mark.parametrize("region_docs,large,block", [(2000, 48, 256), (3, 4, 5), (2000, 1000, 256)])
+def test_jaccard(odd, odd_rows, none, monkeypatch, region_docs, large, block):
+    for name, value in (("REGION_DOCS", region_docs), ("LARGE", large), ("BLOCK", block)):
+        monkeypatch.setattr(jaccard_join, name, value)
     expected = _components(odd_rows)
     assert rows(jaccard_join.jaccard_join(odd), "doc_id", "n_shingles", "component_id") == expected
-    if block == 512:
+    if large == 48:
         assert jaccard_join.jaccard_join(none).count() == 0
 
 
