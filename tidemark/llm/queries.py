@@ -46,7 +46,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores.lm_scores(read(spark, sf_dir, "documents"))
+    return lm_scores.score_report(read(spark, sf_dir, "documents"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,4 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
     "op3_line_dedup": line_dedup.ORACLE,
+    "op7_lm_scores": lm_scores.ORACLE,
+    "op8_jaccard_join": jaccard_join.ORACLE,
 }
