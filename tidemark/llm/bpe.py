@@ -1,10 +1,11 @@
 """BPE encoding and decoding that encodes shared chunks once.
 
 Texts are cut where a rolling hash of the last ``WINDOW`` bytes has its top bits zero, so a passage
-is cut alike wherever it stands. A chunk that several places share is encoded once; all others are
-encoded where they are.
+is cut alike wherever it stands. A chunk that several texts share is encoded once; all others are
+encoded where they are. Equal texts count as one text: to move them would cost more than to encode
+them, so a text that is there twice (as after mixing) does not make all its chunks shared.
 
-1. Every chunk of every text is hashed and counted. Chunks met more than once are marked in a bitmap
+1. Every chunk of every text is hashed. Chunks of two different texts or more are marked in a bitmap
    of fixed size.
 2. Texts without a marked chunk are encoded in place: they never move. The others are handed over.
 3. One copy of each marked chunk is encoded, and its tokens are joined to the chunks' places.
@@ -237,10 +238,16 @@ def assemble(parts: list[bytes], encoded: list[list[int] | None], encoder: Encod
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, slot, of): the chunks of every text, and a mark of the text."""
     for _, raw in texts(batches):
-        keys = [chunk_key(c) for doc in chunks(raw) for c in doc]
+        keys, of = [], []
+        for text, parts in zip(raw, chunks(raw)):
+            mark = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
+            own = {chunk_key(c) for c in parts}
+            keys += own
+            of += [mark] * len(own)
         slots = _slots(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(slots)], ["key", "slot"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(slots), pa.array(of, pa.int64())], ["key", "slot", "of"])
 
 
 _DONE = "row bigint, doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -346,8 +353,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sc = docs.sparkSession.sparkContext
-    counted = docs.select("text").mapInArrow(_count, "key binary, slot bigint")
-    shared = counted.groupBy("key", "slot").agg(F.count("*").alias("places")).filter(F.col("places") > 1)
+    counted = docs.select("text").mapInArrow(_count, "key binary, slot bigint, of bigint")
+    shared = counted.groupBy("key", "slot").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low <> high")
     marked = sc.broadcast(bitmap_of(shared, "slot"))
     first = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         _encode_in_place(path, marked), f"{_DONE}, text binary"
