@@ -261,6 +261,32 @@ def test_jaccard_small(spark, small):
     assert rows(entry.queries()["op8_jaccard_join"](spark, SMALL), "doc_id", "n_shingles", "component_id") == _components(small)
 
 
+@pytest.mark.parametrize("large,block", [(48, 256), (4, 5), (2, 256)])
+def test_jaccard_gives_every_link(odd, odd_rows, none, monkeypatch, large, block):
+    """All pairs of different sets that link, once, and each document's number of links."""
+    for name, value in (("LARGE", large), ("BLOCK", block)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    sets = [brute.shingles(t) for _, t in odd_rows]
+    linked = lambda a, b: a and b and 100 * len(a & b) >= 75 * len(a | b)
+    n_links = [sum(bool(linked(a, b)) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)]
+    different = list({frozenset(s) for s in sets})
+    pairs = sum(bool(linked(a, b)) for i, a in enumerate(different) for b in different[:i])
+    members, edges = jaccard_join.join_links(odd)
+    assert rows(members, "doc_id", "n_shingles", "n_links") == Counter((i, len(s), n) for (i, _), s, n in zip(odd_rows, sets, n_links))
+    found = [(bytes(r.a), bytes(r.b)) for r in edges.collect()]
+    assert len(found) == len(set(found)) == pairs > 0 and all(a < b for a, b in found)
+    if large == 48:
+        members, edges = jaccard_join.join_links(none)
+        assert members.count() == edges.count() == 0
+
+
+def test_three_variants_have_three_links(spark):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(["x" if i == at else w for i, w in enumerate(words)]) for at in (3, 90, 180)]
+    members, edges = jaccard_join.join_links(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"))
+    assert edges.count() == 3 and {r.n_links for r in members.collect()} == {2}
+
+
 def test_regions_lose_no_link():
     """Two sets that link always meet in a region in which one of them lives."""
     import numpy as np
