@@ -140,6 +140,16 @@ def test_bpe(odd, odd_rows, none):
     assert bpe.encode(none, path).count() == 0
 
 
+def test_bpe_gives_ids_and_text(odd, odd_rows):
+    model = Tokenizer.from_file(public_tokenizers.path(WORDS))
+    expected = Counter()
+    for i, t in odd_rows:
+        ids = model.encode(t or "", add_special_tokens=False).ids
+        expected[(i, tuple(ids), model.decode(ids, skip_special_tokens=False))] += 1
+    got = bpe.encode(odd, tokenizer(WORDS)).select("doc_id", "ids", "decoded").collect()
+    assert Counter((r.doc_id, tuple(r.ids), r.decoded) for r in got) == expected
+
+
 def test_bpe_small(spark, small):
     got = entry.queries()["op4_bpe"](spark, SMALL)
     assert rows(got, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == _encoded(small)

@@ -39,6 +39,8 @@ CHUNK_BITS = 9
 #: Words whose tokens a task remembers (twice as many at most), the longest of them, and how many are
 #: encoded in one call.
 MEMORY, MEMORABLE, TOGETHER = 120_000, 64, 500
+#: Rows that are decoded at a time.
+DECODED = 500
 BORDER, BORDER_BYTE = "~", b"~"
 
 _U = np.uint64
@@ -106,7 +108,6 @@ class Encoder:
         border = self._library(BORDER)
         # a word of one token, which no word without that character has
         self.border = border[0] if len(border) == 1 else None
-        self.strings = [str(i) for i in range(self.tokenizer.get_vocab_size())]
         self.pieces = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
         # words in use, and those in use before the last time the memory was full
         self.known: dict[bytes, list[int]] = {}
@@ -160,9 +161,6 @@ class Encoder:
                 self.known[word] = ids
         return ids
 
-    def ids_text(self, ids: list[int]) -> str:
-        return " ".join(map(self.strings.__getitem__, ids))
-
     def decode(self, ids: list[int]) -> str:
         """As the library decodes, special tokens included: without a decoder it joins the tokens."""
         if self.tokenizer.decoder is None:
@@ -250,19 +248,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(slots), pa.array(of, pa.int64())], ["key", "slot", "of"])
 
 
-_DONE = "row bigint, doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+_DONE = "row bigint, doc_id bigint, ids array<int>"
 
 
-def _digests(ids: list[list[int]], encoder: Encoder, names: list[str]) -> dict[str, pa.Array]:
-    text = [hashlib.sha256(encoder.ids_text(i).encode()).hexdigest() for i in ids]
-    plain = [hashlib.sha256(encoder.decode(i).encode("utf-8", "surrogatepass")).hexdigest() for i in ids]
-    values = [pa.array([len(i) for i in ids], pa.int64()), pa.array(text, pa.string()), pa.array(plain, pa.string())]
-    return dict(zip(names, values))
+def _ids(ids: list[list[int]]) -> pa.Array:
+    return pa.array(ids, pa.list_(pa.int32()))
 
 
 def _encode_in_place(path: str, marked):
-    """Digests of texts without a marked chunk; the text of the others."""
-    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    """Tokens of texts without a marked chunk; the text of the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, bitmap = Encoder(path), marked.value
@@ -277,12 +271,11 @@ def _encode_in_place(path: str, marked):
                 at += len(doc)
             encoder.learn([c for i in alone for c in cut[i]])
             ids = [assemble(cut[i], [None] * len(cut[i]), encoder) for i in alone]
-            made = _digests(ids, encoder, names)
+            made = _ids(ids)
             rest = np.setdiff1d(np.arange(len(raw)), alone)
             index = pa.array(np.concatenate([np.array(alone, np.int64), rest]))
             columns = {c: batch.column(c).take(index) for c in ("row", "doc_id")}
-            for name in names:
-                columns[name] = pa.concat_arrays([made[name], pa.nulls(len(rest), made[name].type)])
+            columns["ids"] = pa.concat_arrays([made, pa.nulls(len(rest), made.type)])
             columns["text"] = pa.array([None] * len(alone) + [raw[i] for i in rest.tolist()], pa.binary())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
@@ -323,11 +316,10 @@ def _encode_chunks(path: str):
 
 
 def _put_together(path: str):
-    """Texts with their marked chunks' tokens (arrays of places and of tokens), to digests."""
+    """Texts with their marked chunks' tokens (arrays of places and of tokens), to the tokens of all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        names = ["n_tokens", "ids_sha256", "decoded_sha256"]
         for batch, raw in texts(batches):
             done = []
             cut = chunks(raw)
@@ -337,19 +329,35 @@ def _put_together(path: str):
                     encoded[place["pos"]] = np.frombuffer(place["ids"], "<u4").tolist()
                 encoder.learn([p for p, ids in zip(parts, encoded) if ids is None])
                 done.append(assemble(parts, encoded, encoder))
-            made = _digests(done, encoder, names)
-            columns = {"row": batch.column("row"), "doc_id": batch.column("doc_id"), **made}
+            columns = {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "ids": _ids(done)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
+def _decode(path: str):
+    """Tokens with the text that they decode to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(path)
+        for whole in batches:
+            for a in range(0, whole.num_rows, DECODED):
+                batch = whole.slice(a, DECODED)
+                plain = [encoder.decode(ids) for ids in batch.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("ids"), pa.array(plain, pa.string())], ["doc_id", "ids", "decoded"]
+                )
+
+    return run
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row of ``docs``.
+    """``doc_id, n_tokens, ids, decoded, ids_sha256, decoded_sha256`` of every row of ``docs``.
 
-    The digests are of the decimal ids joined by single spaces and of the decoded text. A null text
-    counts as empty (no tokens; digests of nothing). Repeated rows and null ids each give a row; other
-    columns are not looked at.
+    ``ids`` are the tokens and ``decoded`` the text they decode to; the digests are of the decimal ids
+    joined by single spaces and of the decoded text, and cost nothing where they are not selected. A
+    null text counts as empty (no tokens; digests of nothing). Repeated rows and null ids each give a
+    row; other columns are not looked at.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sc = docs.sparkSession.sparkContext
@@ -370,4 +378,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     per_row = found.groupBy("row").agg(F.collect_list(F.struct("pos", "ids")).alias("chunks"))
     late = waiting.join(per_row, "row").mapInArrow(_put_together(path), _DONE)
     done = first.filter(F.col("text").isNull()).select(*late.columns)
-    return done.union(late).drop("row")
+    made = done.union(late).mapInArrow(_decode(path), "doc_id bigint, ids array<int>, decoded string")
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return made.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded",
+        F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -34,7 +34,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(read(spark, sf_dir, "documents"), tokenizer(WORDS))
+    encoded = bpe.encode(read(spark, sf_dir, "documents"), tokenizer(WORDS))
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
