@@ -388,6 +388,22 @@ def test_order_minhash(odd, odd_rows, none, monkeypatch, per_range):
     assert order_minhash.order_minhash(none).count() == 0
 
 
+def test_order_minhash_of_wide_ids(spark, monkeypatch):
+    """Ids that no double holds: no range loses its last document."""
+    monkeypatch.setattr(order_minhash, "RANGE_DOCS", 5)
+    ids = [2**62 + 3 * i + 1 for i in range(60)] + [-(2**61) - 5 * i - 1 for i in range(60)] + [2**63 - 1, -(2**63)]
+    docs = [(i, f"text number {n} of these") for n, i in enumerate(ids)] + [(None, "b"), (None, "a")]
+    got = order_minhash.order_minhash(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+    assert rows(got, *COLUMNS) == _prints(docs)
+
+
+@pytest.mark.parametrize("texts", [["only"], [None], ["b", "a", None, "a", "longer text"]])
+def test_order_minhash_without_ids(spark, texts):
+    docs = [(None, t) for t in texts]
+    got = order_minhash.order_minhash(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert rows(got, *COLUMNS) == _prints(docs)
+
+
 def test_order_minhash_small(spark, small):
     assert rows(entry.queries()["op10_order_minhash"](spark, SMALL), *COLUMNS) == _prints(small)
 

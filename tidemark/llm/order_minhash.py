@@ -114,14 +114,21 @@ def _ranges(bounds: list[int]):
 
 
 def _range_bounds(docs: DataFrame) -> list[int]:
-    """Ids at which ranges start: the smallest, and quantiles (which are values that occur)."""
+    """Ids at which ranges start: the smallest of each approximate range, so they occur. None: no ids.
+
+    Quantiles are worked out in doubles, which are no ids that occur above 2**53: they only part the ids.
+    """
     ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull())
-    low, rows = ids.agg(F.min("doc_id"), F.count("*")).first()
-    if low is None:
-        return [0]
+    rows = ids.count()
     ranges = int(min(MOST_RANGES, max(1, rows // RANGE_DOCS)))
     inner = ids.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
-    return sorted({int(low), *(int(x) for x in inner)})
+    cuts = np.array(sorted({min(int(x), 2**63 - 1) for x in inner}), np.int64)
+
+    @F.pandas_udf("int")
+    def part(values: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, values.to_numpy(), "right"))
+
+    return sorted(r.low for r in ids.groupBy(part("doc_id").alias("part")).agg(F.min("doc_id").alias("low")).collect())
 
 
 _OUT = (
@@ -130,9 +137,12 @@ _OUT = (
 )
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one task, range by range in order of id, each range followed by its peek row."""
-    state: dict = {"range": None, "last": None, "peeked": False}
+def _sketch(batches: Iterator[pa.RecordBatch], round_: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows of one task, range by range in order of id, each range followed by its peek row.
+
+    ``round_``: there is one range without a peek row, and its first row follows its last.
+    """
+    state: dict = {"range": None, "first": None, "last": None, "peeked": False}
     out: list[tuple] = []
 
     def close(row, follower) -> None:
@@ -161,17 +171,21 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc_id, text = rows.column("doc_id")[i].as_py(), rows.column("text")[i].as_py() or ""
             target, peek = rows.column("range")[i].as_py(), rows.column("peek")[i].as_py()
             if target != state["range"]:
-                state.update(range=target, last=None, peeked=False)
+                state.update(range=target, first=None, last=None, peeked=False)
             if state["peeked"]:
                 continue  # a repeated first id of the next range
             points = _points(text)
             row = (doc_id, points, fingerprint(points))
             if state["last"] is not None:
                 close(state["last"], row)
+            else:
+                state["first"] = row
             state["last"] = row
             state["peeked"] = peek
             if len(out) >= 500:
                 yield batch()
+    if round_ and state["last"] is not None:
+        close(state["last"], state["first"])
     if out:
         yield batch()
 
@@ -186,8 +200,10 @@ def order_minhash(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     bounds = _range_bounds(docs)
+    no_ids = not bounds
+    bounds = bounds or [0]
     dealt = docs.select("doc_id", "text", F.posexplode(_ranges(bounds)(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNotNull())).alias("pos", "range"))
-    return _neighbours(dealt, len(bounds)).mapInArrow(_sketch, _OUT)
+    return _neighbours(dealt, len(bounds)).mapInArrow(lambda batches: _sketch(batches, no_ids), _OUT)
 
 
 def _neighbours(dealt: DataFrame, ranges: int) -> DataFrame:
