@@ -244,6 +244,12 @@ def test_lm(odd, odd_rows, none, monkeypatch, frequent):
     assert lm_scores.lm_scores(none).count() == 0
 
 
+def test_lm_keeps_every_pair(odd, odd_rows):
+    expected = Counter((i, round(s, 6)) for (i, _), s in zip(odd_rows, brute.backoff([t for _, t in odd_rows], 1)))
+    got = lm_scores.lm_scores(odd, least=1).collect()
+    assert Counter((r.doc_id, round(r.score, 6) + 0.0) for r in got) == expected
+
+
 # 8 Jaccard join
 
 
