@@ -6,6 +6,7 @@ import collections
 import hashlib
 import math
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -96,3 +97,81 @@ def edited(docs: list[tuple[int, str]]) -> list[tuple[int, str]]:
         follower = docs[(k + 1) % len(docs)][1]
         out.append((i, t[: len(t) - len(t) // 2] + follower[: len(t) // 2]))
     return out
+
+
+def copies(docs: list[tuple[int | None, str | None]], keep: str = "largest") -> collections.Counter:
+    """(doc_id, keep_id, group size, kept, digest); of rows that share the id that stays, one is kept."""
+    groups = collections.defaultdict(list)
+    for i, t in docs:
+        groups[lower(t)].append(i)
+    out = collections.Counter()
+    for t, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        stays = (max if keep == "largest" else min)(known) if known else None
+        for i in ids:
+            out[(i, stays, len(ids), False, sha(t))] += 1
+        out[(stays, stays, len(ids), False, sha(t))] -= 1
+        out[(stays, stays, len(ids), True, sha(t))] += 1
+    return +out
+
+
+def distance_one(a: str, b: str) -> bool:
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    short, long = sorted((a, b), key=len)
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(long[:k] + long[k + 1 :] == short for k in range(len(long)))
+
+
+def spelling(docs: list[tuple[int | None, str | None]], min_chars: int = 6, min_count: int = 5, times: int = 5) -> set[tuple]:
+    n = collections.Counter()
+    for i, t in docs:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", t or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    n = {w: c for w, c in n.items() if len(w) >= min_chars and c >= min_count}
+    forms, near = {}, {}
+    for w in n:
+        others = [x for x in n if distance_one(w, x)]
+        near[w] = len(others)
+        best = min(others, key=lambda x: (-n[x], x), default=None)
+        forms[w] = best if best is not None and n[best] >= times * n[w] else None
+
+    def root(w: str) -> str:
+        while forms[w] is not None:
+            w = forms[w]
+        return w
+
+    return {(w, forms[w], root(w), n[w], near[w], n[forms[w]] if forms[w] else None) for w in n}
+
+
+def collocations(docs: list[tuple[str | None, str | None]], least: int, top: int) -> list[tuple]:
+    """Of (language, text)."""
+    f = collections.defaultdict(collections.Counter)
+    for lang, t in docs:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(t)):
+            w = re.findall("[^ \t]+", piece)
+            for k in range(1, 5):
+                f[lang or "und" if lang is None else lang].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        size = sum(c for g, c in counts.items() if len(g) == 1)
+        candidates = {g: c for g, c in counts.items() if len(g) > 1 and c >= least}
+        rows = []
+        for g, a in candidates.items():
+            inside = [
+                c for x, c in candidates.items()
+                if len(x) > len(g) and any(x[i : i + len(g)] == g for i in range(len(x) - len(g) + 1))
+            ]
+            if any(100 * c >= 80 * a for c in inside):
+                continue
+            cuts = [(2000000 * a // (counts[g[:k]] + counts[g[k:]]), k, counts[g[:k]], counts[g[k:]]) for k in range(1, len(g))]
+            score, _, l, r = min(cuts)
+            rows.append((" ".join(g), a, l, r, size, score))
+        rows.sort(key=lambda x: (-x[5], -x[1], x[0].encode("utf-8", "surrogatepass")))
+        out += [(lang, k, *row) for k, row in enumerate(rows[:top], 1)]
+    return out

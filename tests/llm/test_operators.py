@@ -31,7 +31,7 @@ def test_against_sql(spark, name):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 # 1 token counts

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    bpe, jaccard_join, licenses, line_dedup, lm_scores, mixing, order_minhash, quality, token_counts, toxicity,
+    bpe, exact_dedup, jaccard_join, licenses, line_dedup, lm_scores, mixing, order_minhash, phrases, quality, spelling,
+    token_counts, toxicity,
 )
 from tidemark.llm.common import read
 
@@ -62,11 +63,23 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.order_minhash(read(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.copies(read(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_mixing, op3_line_dedup, op4_bpe, op5_quality, op6_licenses, op7_lm_scores,
-        op8_jaccard_join, op9_toxicity, op10_order_minhash,
+        op8_jaccard_join, op9_toxicity, op10_order_minhash, op11_exact_dedup, op12_spelling, op13_phrases,
     )
 }
 
@@ -75,4 +88,6 @@ ORACLE: dict[str, str] = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op7_lm_scores": lm_scores.ORACLE,
     "op8_jaccard_join": jaccard_join.ORACLE,
+    "op11_exact_dedup": exact_dedup.ORACLE,
+    "op13_phrases": phrases.ORACLE,
 }
