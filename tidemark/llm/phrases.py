@@ -35,6 +35,8 @@ from tidemark.llm.common import bitmap_of, hand_over, in_bitmap, mix, signed, te
 DEPTH, LEAST = 4, 30
 #: Rows of the report for each language.
 TOP = 2000
+#: Shares of a language that are ranked before the language is.
+SHARES = 32
 #: A longer candidate stands for its parts from this percentage of their count.
 STANDS_FOR = 80
 #: Suffixes in a group. Of all prefixes, fewer than 2**SPREAD_BITS can be over the budget.
@@ -336,9 +338,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     wide = lambda c, by: F.col(c).cast("decimal(19,0)") * F.lit(by).cast("decimal(3,0)")
     stands = F.coalesce(wide("longer", 100) >= wide("a", STANDS_FOR), F.lit(False))
     left = scored.join(longer, ["lang", "phrase"], "left").filter(~stands).select("lang", "phrase", "a", "cut.*")
-    ranked = left.selectExpr(
-        "*", "row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank"
-    ).filter(F.col("rank") <= top)
+    # the first of each share of a language, then the first of those: no task meets all shares of all tasks
+    shares = left.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    by_score = "ORDER BY score DESC, a DESC, phrase"
+    ahead = shares.selectExpr("*", f"row_number() OVER (PARTITION BY lang, share {by_score}) AS within").filter(F.col("within") <= top)
+    ranked = ahead.selectExpr("*", f"row_number() OVER (PARTITION BY lang {by_score}) AS rank").filter(F.col("rank") <= top)
     return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
