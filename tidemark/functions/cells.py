@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import is_match_date
+from tidemark.functions.html import Apart
 from tidemark.functions.numbers import parse_minutes, parse_stat, to_float, to_int
 from tidemark.functions.text import bind, blank_to_null, first_index
 from tidemark.schemas import MATCH_COUNTS, MATCH_MINUTES
@@ -39,13 +38,14 @@ def tail(values: Column, start: Column | int) -> Column:
 # --- row shape --------------------------------------------------------------------
 
 
-def is_dated(values: Column) -> Column:
-    """Six cells, a whole number first (zero counts), a date second."""
-    return (F.size(values) >= MINIMUM_CELLS) & _starts_dated(values)
+def starts_dated(first: Column, second: Column) -> Column:
+    """A whole number first (zero counts), a date second."""
+    return to_int(first).isNotNull() & is_match_date(second)
 
 
-def _starts_dated(values: Column) -> Column:
-    return to_int(F.get(values, F.lit(0))).isNotNull() & is_match_date(F.get(values, F.lit(1)))
+def is_dated(values: Column) -> Column:
+    """Six cells, a whole number first, a date second."""
+    return (F.size(values) >= MINIMUM_CELLS) & starts_dated(F.get(values, F.lit(0)), F.get(values, F.lit(1)))
 
 
 def is_candidate(values: Column) -> Column:
@@ -53,17 +53,17 @@ def is_candidate(values: Column) -> Column:
     return is_dated(values) & (to_int(F.get(values, F.lit(0))) != 0)
 
 
-def is_match_table(rows: Column, text: Callable[[Column], Column] | None = None) -> Column:
-    """At least two dated rows among the first eight. ``text`` reads a cell, if they are not texts yet:
-    two cells of eight rows are all that is read."""
+def match_table(page: Apart) -> Column:
+    """Zero-based number of the first table with at least two dated rows among its first eight.
+
+    A row is judged once, however many tables it is in.
+    """
 
-    def dated(row: Column) -> Column:
-        if text is None:
-            return is_dated(row)
-        first = F.transform(F.slice(row, 1, 2), text)
-        return F.when(F.size(row) >= MINIMUM_CELLS, bind(first, lambda f: _starts_dated(f))).otherwise(F.lit(False))
+    def first(rows: Column) -> Column:
+        probed = lambda t: F.slice(rows, t["first"] + 1, F.least(t["size"], F.lit(PROBED_ROWS)))
+        return first_index(page.found["tables"], lambda t: F.size(F.filter(probed(t), lambda is_: is_)) >= DATED_ROWS)
 
-    return F.size(F.filter(F.slice(rows, 1, PROBED_ROWS), dated)) >= DATED_ROWS
+    return bind(page.judged(MINIMUM_CELLS, starts_dated), first)
 
 
 def is_status_row(values: Column) -> Column:

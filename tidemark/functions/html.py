@@ -10,12 +10,13 @@ inside it belongs to both.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import SPACE, bind, first_index, strip, strip_shirt_number
+from tidemark.functions.text import bind, strip, strip_shirt_number
 
 # Possessive groups throughout: the engine repeats any other group by recursion, once per attribute.
 REST = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
@@ -26,7 +27,6 @@ ANCHOR = r"(?s)<[aA](?=[\s>])" + REST + r".*?(?:</[aA]\s*>|\z)"
 OPENING = r"(?is)^<[a-z0-9]+" + REST
 ATTRIBUTE = r"""(?s)([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
 HEADING = r"(?s)<[hH]1(?=[\s>])" + REST + r"(.*?)(?:</[hH]1\s*>|\z)"
-OUTER_SPACE = rf"^{SPACE}|{SPACE}\z"
 ENTITY = r"(?s)&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?|[^&]+|&"
 
 ENTITIES = {name: chr(code) for name, code in name2codepoint.items()}
@@ -87,14 +87,15 @@ def unescape(value: Column, names: dict[str, str] = ENTITIES) -> Column:
 
 def visible(html: Column) -> Column:
     """The page without NUL, comments, scripts and styles; the cut leaves a tag, so texts stay apart."""
-    return F.regexp_replace(F.translate(html, CUT, ""), HIDDEN, "<!>")
+    return F.regexp_replace(F.replace(html, F.lit(CUT), F.lit("")), HIDDEN, "<!>")
 
 
 def text_of(fragment: Column) -> Column:
     """All text pieces, each stripped, joined by one blank."""
 
     def stripped(text: Column) -> Column:
-        return F.when(text.rlike(OUTER_SPACE), strip(text)).otherwise(text)
+        clear = F.ascii(text).between(33, 126) & F.ascii(F.right(text, F.lit(1))).between(33, 126)
+        return F.when(clear, text).otherwise(strip(text))
 
     def whole(text: Column) -> Column:
         pieces = F.transform(
@@ -153,113 +154,232 @@ def heading(html: Column) -> Column:
     return page_heading(visible(html))
 
 
-def _pieces(html: Column, tag: str, stop: str) -> Column:
-    """What follows each opening ``<tag …>``, up to the next one or to the closing ``stop``."""
-    pieces = cut_at(html, rf"<(?i:{tag})(?=[\s>])")
-    inner, closed = r"(?s)^" + REST + r"(.*)", rf"(?s)</(?i:{stop})\s*>.*"
-    later = bind(pieces, lambda all_: F.slice(all_, F.lit(2), F.size(all_)))
-    return F.transform(
-        later, lambda piece: F.regexp_replace(F.regexp_extract(piece, inner, 1), closed, "")
-    )
+# --- tables -------------------------------------------------------------------------
+#
+# A page is cut once, at the marks of tables, rows and cells. Cells are read once; a row is a stretch
+# of the page's cells and a table a stretch of the page's rows, so a table inside others is not
+# copied for each of them.
 
+MARK = r"<(?=/?(?i:table|tr|td)[\s>])"
+#: A mark's kind is where its letters stand here.
+KINDS = "ta,tr,td,/ta,/tr,/td"
+TABLE, ROW, CELL, END_TABLE, END_ROW, END_CELL = (("," + KINDS).index("," + kind) + 1 for kind in KINDS.split(","))
 
-# --- tables -------------------------------------------------------------------------
 
-TABLE_MARK = r"<(?=/?(?i:table)[\s>])"
-OPENS = r"^[tT]"
-#: Tags of an inner table get another name while the outer one is read.
-INNER = "x-"
-INNER_PART = r"<(/?)(?=(?i:tr|td)[\s>])"
+def _marks(page: Column) -> Column:
+    """array<struct<k, p>>: kind of each mark, and what follows its ``<`` up to the next one."""
+
+    def mark(piece: Column) -> Column:
+        letters = F.when(piece.startswith("/"), F.left(piece, F.lit(3))).otherwise(F.left(piece, F.lit(2)))
+        return F.struct(F.instr(F.lit(KINDS), F.lower(letters)).alias("k"), piece.alias("p"))
 
+    return bind(cut_at(page, MARK), lambda all_: F.transform(F.slice(all_, F.lit(2), F.size(all_)), mark))
 
-def _levels(marks: Column) -> Column:
-    """How many tables are open behind each mark (``table …`` or ``/table …``)."""
 
-    def step(seen: Column, mark: Column) -> Column:
-        last = F.element_at(seen, -1)
-        return F.concat(seen, F.array(F.when(mark.rlike(OPENS), last + 1).otherwise(F.greatest(last - 1, F.lit(0)))))
+def _text_behind(piece: Column) -> Column:
+    """Text of what follows a tag; the search for its end minds quotes only where there are any."""
 
-    return F.aggregate(marks, F.array(F.lit(0)), step, lambda seen: F.slice(seen, F.lit(2), F.size(seen)))
+    def of(at: Column) -> Column:
+        tag, plain = F.left(piece, at), F.substr(piece, at + 1)
+        quoted = F.contains(tag, F.lit('"')) | F.contains(tag, F.lit("'"))
+        return F.when(quoted | (at == 0), F.regexp_extract(piece, r"(?s)^" + REST + "(.*)", 1)).otherwise(plain)
 
+    return text_of(bind(F.instr(piece, ">"), of))
 
-def _spans(page: Column) -> Column:
-    """What each table of a page holds, in the order of the opening tags.
 
-    The page is cut at its table tags. A table holds the pieces from its own tag to the first one
-    behind which fewer tables are open. Rows and cells of the tables inside are renamed.
+def _positions(marks: Column, *kinds: str) -> Column:
+    found = F.transform(marks, lambda mark, at: F.when(mark["k"].isin(*kinds), at))
+    return F.filter(found, lambda at: at.isNotNull())
+
+
+def _side_by_side(marks: Column) -> Column:
+    """Rows and tables of a page whose tables do not lie in each other; cells as they are written.
+
+    A cell ends at the next mark, a row at the next mark that is no cell's, a table at the next table's.
     """
 
-    def of(parts: Column) -> Column:
-        marks, levels = parts["marks"], parts["levels"]
+    def of(edges: Column) -> Column:
+        def row(at: Column, number: Column) -> Column:
+            end = F.coalesce(F.get(edges, number + 1), F.size(marks))
+            inside = F.filter(F.slice(marks, at + 2, end - at - 1), lambda mark: mark["k"] == CELL)
+            return F.when(F.get(marks, at)["k"] == ROW, F.transform(inside, lambda mark: mark["p"]))
 
-        def span(mark: Column, at: Column) -> Column:
-            own = F.get(levels, at)
-            rest = F.slice(levels, at + 2, F.size(levels))
-            length = F.coalesce(first_index(rest, lambda level: level < own), F.size(rest)) + 1
-            part = F.arrays_zip(
-                F.slice(marks, at + 1, length).alias("mark"), F.slice(levels, at + 1, length).alias("level")
-            )
-            renamed = F.transform(
-                part,
-                lambda p, i: F.when(i == 0, F.regexp_extract(p["mark"], r"(?s)^" + REST + "(.*)", 1))
-                .when(p["level"] > own, F.concat(F.lit("<" + INNER), F.regexp_replace(p["mark"], INNER_PART, "<$1" + INNER)))
-                .otherwise(F.concat(F.lit("<" + INNER), p["mark"])),
-            )
-            return F.when(mark.rlike(OPENS), F.array_join(renamed, ""))
+        return F.filter(F.transform(edges, row), lambda cells: cells.isNotNull())
+
+    def stretches(ends: Column, starts: Column) -> Column:
+        def table(at: Column, number: Column) -> Column:
+            end = F.coalesce(F.get(ends, number + 1), F.size(marks))
+            before = F.size(F.filter(starts, lambda start: start < at))
+            inside = F.size(F.filter(starts, lambda start: (start > at) & (start < end)))
+            return F.when(F.get(marks, at)["k"] == TABLE, F.struct(before.alias("first"), inside.alias("size")))
 
-        return F.filter(F.transform(marks, span), lambda s: s.isNotNull())
+        return F.filter(F.transform(ends, table), lambda stretch: stretch.isNotNull())
 
-    pieces = cut_at(page, TABLE_MARK)
-    marks = bind(pieces, lambda all_: F.slice(all_, F.lit(2), F.size(all_)))
-    return bind(
-        bind(marks, lambda m: F.struct(m.alias("marks"), _levels(m).alias("levels"))), of
+    rows = bind(_positions(marks, ROW, END_ROW, TABLE, END_TABLE), of)
+    tables_ = bind(
+        _positions(marks, TABLE, END_TABLE),
+        lambda ends: bind(_positions(marks, ROW), lambda starts: stretches(ends, starts)),
     )
+    return F.struct(rows.alias("rows"), tables_.alias("tables"))
+
+
+#: Closed cells, rows and tables that are gathered before they are put away: a longer array is copied less often.
+GATHERED = 256
 
 
-def _none(kind: str) -> Column:
-    return F.array().cast(kind)
+def _nested(marks: Column) -> Column:
+    """Cells, rows and tables of any page: one walk over its marks with the chain of open tables.
 
+    Of the innermost table the open row and cell are known, and of those around it, whatever was open
+    where the inner one began. A cell keeps the number of texts before it, a row that of cells, a
+    table that of rows; what a mark closes gets the number at its end.
+    """
+    open_ = ["table", "from_row", "row", "from_cell", "cell", "from_text"]
+    chain = f"struct<{','.join(f'{name}:int' for name in open_)}>"
+    done = "struct<k:int,id:int,first:int,last:int>"
+    nothing = F.lit(None).cast("int")
+
+    def ended(now: Column, texts: Column, cells: Column, rows: Column, upto: Column) -> Column:
+        """Of what is open, the cell (``upto`` 1), the row as well (2), the table as well (3)."""
 
-def _inside(piece: Column, tag: str, use: Callable[[Column], Column]) -> Column:
-    """``use`` of the rows or cells that inner tables put into a piece; null without any."""
-    inner = _pieces(piece, INNER + tag, INNER + tag)
-    return F.when(F.contains(piece, F.lit("<" + INNER)), F.transform(inner, use))
+        def one(kind: str, level: int, number: str, first: str, last: Column) -> Column:
+            entry = F.struct(F.lit(kind).alias("k"), now[number].alias("id"), now[first].alias("first"), last.alias("last"))
+            return F.when((upto >= level) & now[number].isNotNull(), entry.cast(done))
 
+        found = F.array(
+            one(CELL, 1, "cell", "from_text", texts), one(ROW, 2, "row", "from_cell", cells), one(TABLE, 3, "table", "from_row", rows)
+        )
+        return F.filter(found, lambda entry: entry.isNotNull())
+
+    def step(state: Column, mark: Column) -> Column:
+        # nothing is bound here: a bound value is copied, and the state grows with the page
+        kind, now, around = mark["k"], state["now"], state["around"]
+        inside = now["table"].isNotNull()
+        upto = F.when(kind == TABLE, 0).when(kind.isin(CELL, END_CELL), 1).when(kind.isin(ROW, END_ROW), 2).otherwise(3)
+        closes = (upto >= 1) & now["cell"].isNotNull() | (upto >= 2) & now["row"].isNotNull() | (upto == 3) & inside
+        gathered = F.when(
+            closes, F.concat(state["gathered"], ended(now, state["texts"], state["cells"], state["rows"], upto))
+        ).otherwise(state["gathered"])
+        full = F.size(state["gathered"]) >= GATHERED
+
+        def opened(own: str, number: Column, first: str, start: Column, level: int) -> list[Column]:
+            new = inside & (kind == own)
+            keep = upto < level
+            return [
+                F.when(new, number).when(keep, now[name]).otherwise(nothing).alias(name) if name != first
+                else F.when(new, start).when(keep, now[name]).otherwise(nothing).alias(name)
+                for name in ({CELL: "cell", ROW: "row"}[own], first)
+            ]
+
+        row, from_cell = opened(ROW, state["rows"], "from_cell", state["cells"], 2)
+        cell, from_text = opened(CELL, state["cells"], "from_text", state["texts"], 1)
+        within = F.struct(now["table"].alias("table"), now["from_row"].alias("from_row"), row, from_cell, cell, from_text).cast(chain)
+        fresh = F.struct(
+            state["tables"].alias("table"), state["rows"].alias("from_row"), *[nothing.alias(name) for name in open_[2:]]
+        ).cast(chain)
+        empty = F.struct(*[nothing.alias(name) for name in open_]).cast(chain)
+        more = lambda own, name: state[name] + F.when(inside & (kind == own), 1).otherwise(0)
+        return F.struct(
+            F.when(kind == TABLE, fresh).when(kind == END_TABLE, F.coalesce(F.try_element_at(around, F.lit(-1)), empty))
+            .otherwise(within).alias("now"),
+            F.when((kind == TABLE) & inside, F.concat(around, F.array(now)))
+            .when((kind == END_TABLE) & (F.size(around) > 0), F.slice(around, F.lit(1), F.size(around) - 1))
+            .otherwise(around).alias("around"),
+            F.when(full, F.array().cast(f"array<{done}>")).otherwise(gathered).alias("gathered"),
+            F.when(full, F.concat(state["put"], F.array(gathered))).otherwise(state["put"]).alias("put"),
+            (state["texts"] + F.when(mark["t"] != "", 1).otherwise(0)).alias("texts"),
+            more(CELL, "cells").alias("cells"), more(ROW, "rows").alias("rows"),
+            (state["tables"] + F.when(kind == TABLE, 1).otherwise(0)).alias("tables"),
+        )
 
-def _cells(row: Column) -> Column:
-    """Cells of a row, each followed by the cells inside it."""
-    own = _pieces(row, "td", "td|tr")
-    return F.flatten(
-        F.transform(own, lambda c: F.concat(F.array(c), F.coalesce(_inside(c, "td", lambda i: i), _none("array<string>"))))
+    start = F.struct(
+        F.struct(*[nothing.alias(name) for name in open_]).cast(chain).alias("now"),
+        F.array().cast(f"array<{chain}>").alias("around"), F.array().cast(f"array<{done}>").alias("gathered"),
+        F.array().cast(f"array<array<{done}>>").alias("put"),
+        *[F.lit(0).alias(c) for c in ("texts", "cells", "rows", "tables")],
     )
 
+    def finish(state: Column) -> Column:
+        left = F.transform(
+            F.concat(state["around"], F.array(state["now"])),
+            lambda now: ended(now, state["texts"], state["cells"], state["rows"], F.lit(3)),
+        )
+        return F.concat(F.flatten(state["put"]), state["gathered"], F.flatten(left))
+
+    def of(found: Column, texts: Column) -> Column:
+        def all_(kind: str) -> Column:
+            own = F.filter(found, lambda x: x["k"] == kind)
+            return F.array_sort(F.transform(own, lambda x: F.struct(x["id"].alias("id"), x["first"].alias("first"), x["last"].alias("last"))))
 
-def _rows(table: Column) -> Column:
-    """Rows of a table, each followed by the rows inside it."""
+        def text(cell: Column) -> Column:
+            return F.array_join(F.slice(texts, cell["first"] + 1, cell["last"] - cell["first"]), " ")
+
+        def stretches(kind: str) -> Column:
+            return F.transform(
+                all_(kind), lambda x: F.struct(x["first"].alias("first"), (x["last"] - x["first"]).alias("size"))
+            )
 
-    def of(piece: Column, at: Column) -> Column:
-        after_tag = F.regexp_extract(piece, r"(?s)^" + REST + r"(.*)", 1)
-        own = F.regexp_replace(after_tag, r"(?s)</(?i:tr)\s*>.*", "")
-        inner = _inside(piece, "tr", lambda row: _pieces(row, INNER + "td", f"{INNER}td|{INNER}tr"))
-        return F.concat(
-            F.when(at > 0, F.array(_cells(own))).otherwise(_none("array<array<string>>")), F.coalesce(inner, _none("array<array<string>>"))
+        return F.struct(
+            F.transform(all_(CELL), text).alias("cells"), stretches(ROW).alias("rows"), stretches(TABLE).alias("tables")
         )
 
-    return F.flatten(F.transform(cut_at(table, r"<(?i:tr)(?=[\s>])"), of))
+    def walked(read: Column) -> Column:
+        texts = F.transform(F.filter(read, lambda mark: mark["t"] != ""), lambda mark: mark["t"])
+        return bind(F.aggregate(read, start, step, finish), lambda found: bind(texts, lambda t: of(found, t)))
+
+    read = F.transform(marks, lambda mark: F.struct(mark["k"].alias("k"), _text_behind(mark["p"]).alias("t")))
+    return bind(read, walked)
+
+
+@dataclass(frozen=True)
+class Apart:
+    """``_side_by_side`` of a page: rows are arrays of cells, which are read when they are asked for."""
+
+    found: Column
 
+    def row(self, row: Column) -> Column:
+        return F.transform(row, _text_behind)
 
-def raw_tables(page: Column) -> Column:
-    """array<table: array<row: array<cell>>> of a visible page; cells as they are written.
+    def judged(self, least: int, test: Callable[[Column, Column], Column]) -> Column:
+        """Of every row, whether it has ``least`` cells and its first two pass the test."""
+        cell = lambda r, n: _text_behind(F.get(r, F.lit(n)))
+        return F.transform(self.found["rows"], lambda r: F.when(F.size(r) >= least, test(cell(r, 0), cell(r, 1))).otherwise(False))
 
-    As in the page's tree, rows and cells of a table inside another one are found in both.
+    def rows(self, table: Column) -> Column:
+        """Rows of one of the tables, as arrays of cell texts."""
+        return F.transform(F.slice(self.found["rows"], table["first"] + 1, table["size"]), self.row)
+
+
+class Inside(Apart):
+    """``_nested`` of a page: rows are stretches of its cells, so that no cell is there twice."""
+
+    def row(self, row: Column) -> Column:
+        return F.slice(self.found["cells"], row["first"] + 1, row["size"])
+
+    def judged(self, least: int, test: Callable[[Column, Column], Column]) -> Column:
+        cell = lambda r, n: F.get(self.found["cells"], r["first"] + n)
+        return F.transform(self.found["rows"], lambda r: F.when(r["size"] >= least, test(cell(r, 0), cell(r, 1))).otherwise(False))
+
+
+def with_tables(page: Column, use: Callable[[Apart], Column]) -> Column:
+    """``use`` of the tables of a visible page, in the order of their opening tags.
+
+    As in the page's tree, rows and cells of a table inside another one are found in both, and an
+    outer cell's text has theirs too.
     """
-    return F.transform(_spans(page), _rows)
 
+    def of(marks: Column) -> Column:
+        kinds = F.transform(F.filter(marks, lambda m: m["k"].isin(TABLE, END_TABLE)), lambda m: m["k"])
+        two = lambda all_: F.transform(
+            all_, lambda k, at: (k == TABLE) & (F.coalesce(F.get(all_, at + 1), F.lit(0)) == TABLE)
+        )
+        return F.when(
+            bind(kinds, lambda all_: F.exists(two(all_), lambda is_: is_)), bind(_nested(marks), lambda found: use(Inside(found)))
+        ).otherwise(bind(_side_by_side(marks), lambda found: use(Apart(found))))
 
-def cell_texts(table: Column) -> Column:
-    return F.transform(table, lambda row: F.transform(row, text_of))
+    return bind(_marks(page), of)
 
 
 def tables(html: Column) -> Column:
     """array<table: array<row: array<cell text>>> of one page."""
-    return F.transform(raw_tables(visible(html)), cell_texts)
+    return with_tables(visible(html), lambda page: F.transform(page.found["tables"], page.rows))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import html as H
 from tidemark.functions import urls as U
-from tidemark.functions.cells import is_match_table, match_rows
+from tidemark.functions.cells import match_rows, match_table
 from tidemark.functions.text import (
-    clean_value, collapse_spaces, first_index, slug_to_name, team_key,
+    bind, clean_value, collapse_spaces, slug_to_name, team_key,
 )
 from tidemark.operators.lookups import first_name
 from tidemark.operators.nest import each_row, flatten_rows
@@ -125,7 +125,7 @@ def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def match_table_numbers(pages: DataFrame, html: str = "html") -> DataFrame:
     """table_no of the first table that looks like a match table; null without one."""
-    at = first_index(H.raw_tables(H.visible(F.col(html))), lambda rows: is_match_table(rows, H.text_of))
+    at = H.with_tables(H.visible(F.col(html)), match_table)
     return pages.select(*_others(pages, html), at.alias("table_no"))
 
 
@@ -139,17 +139,16 @@ def read_match_pages(
     The name is the page's heading, else the given one.
     """
     seen = pages.withColumn("_page", H.visible(F.col(html)))
-    found = seen.withColumns(
+
+    def first_match(page: H.Apart) -> Column:
+        return bind(F.get(page.found["tables"], match_table(page)), page.rows)
+
+    staged = seen.withColumns(
         {
-            "_raw": F.get(
-                F.filter(H.raw_tables(F.col("_page")), lambda rows: is_match_table(rows, H.text_of)), F.lit(0)
-            ),
-            "_heading": H.page_heading(F.col("_page")),
+            "_table": H.with_tables(F.col("_page"), first_match),
+            "player_name": first_name(H.page_heading(F.col("_page")), player_name),
         }
     )
-    staged = found.withColumns(
-        {"_table": H.cell_texts(F.col("_raw")), "player_name": first_name(F.col("_heading"), player_name)}
-    )
     head = {
         "player_name": F.col("player_name"), "player_id": player_id,
         "season": season, "competition_code": competition,
@@ -162,7 +161,7 @@ def read_match_pages(
             .otherwise("ok"),
             "player_stats": F.coalesce("player_stats", F.array()),
         }
-    ).drop("_table", "_heading", "_page", "_raw")
+    ).drop("_table", "_page")
 
 
 def match_rows_of(
