@@ -1,33 +1,38 @@
 """BPE encoding and decoding that encodes shared chunks once.
 
 Texts are cut where a rolling hash of the last ``WINDOW`` bytes has its top bits zero, so a passage
-is cut alike wherever it stands. A chunk that several texts share is encoded once; all others are
-encoded where they are. Equal texts count as one text: to move them would cost more than to encode
-them, so a text that is there twice (as after mixing) does not make all its chunks shared.
-
-1. Every chunk of every text is hashed. Chunks of two different texts or more are marked in a bitmap
-   of fixed size.
-2. Texts without a marked chunk are encoded in place: they never move. The others are handed over.
-3. One copy of each marked chunk is encoded, and its tokens are joined to the chunks' places.
+is cut alike wherever it stands. A chunk that several texts share is encoded once, and so is a text
+that is there several times, as one chunk; all others are encoded where they are.
+
+1. Every chunk of every text is hashed, and every text. Chunks of two different texts or more, and
+   texts that come again outside the slice that a task holds, are marked in a bitmap of fixed size.
+2. Texts without a mark are encoded in place: they never move (copies in one slice are encoded once).
+   Of a marked text only its key goes on, and its bytes once for each slice. Texts with marked chunks
+   are handed over.
+3. One copy of each marked text and chunk is encoded. A text's result is joined to its key, a chunk's
+   tokens to its places.
 4. Joins are repaired. Tokens at both ends of a chunk may differ from those of the whole text, so the
    stretch around each cut is encoded again, a word wider each time until the tokens beside it agree
    with those at hand; if they never do, the chunk is encoded again in full with the stretch.
 
-Encoding goes through a table of words: the tokenizer drops white space and lets nothing reach over
-it, so a word's tokens do not depend on its neighbours. Only the six ASCII blanks are taken for white
-space here; all of them are for the tokenizer too (checked when it is loaded).
+Tokens, decoded text and digests of a text are made in one function and one process; only what the
+caller asks for leaves it. Encoding goes through a table of words: the tokenizer drops white space and
+lets nothing reach over it, so a word's tokens do not depend on its neighbours. Only the six ASCII
+blanks are taken for white space here; all of them are for the tokenizer too (checked when it is
+loaded).
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +41,11 @@ from tidemark.llm.common import bitmap_of, hand_over, in_bitmap, mix, texts
 WINDOW = 32
 #: A chunk is 2**CHUNK_BITS bytes long on average.
 CHUNK_BITS = 9
-#: Words whose tokens a task remembers (twice as many at most), the longest of them, and how many are
-#: encoded in one call.
-MEMORY, MEMORABLE, TOGETHER = 120_000, 64, 500
-#: Rows that are decoded at a time.
-DECODED = 500
+#: Bytes of words and tokens that a process remembers (twice as many at most), the longest word of
+#: them, and how many words are encoded in one call.
+MEMORY, MEMORABLE, TOGETHER = 20 << 20, 64, 500
+#: Bytes that a remembered word takes beside its letters and tokens.
+ENTRY_BYTES = 160
 BORDER, BORDER_BYTE = "~", b"~"
 
 _U = np.uint64
@@ -109,9 +114,11 @@ class Encoder:
         # a word of one token, which no word without that character has
         self.border = border[0] if len(border) == 1 else None
         self.pieces = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
-        # words in use, and those in use before the last time the memory was full
-        self.known: dict[bytes, list[int]] = {}
-        self.older: dict[bytes, list[int]] = {}
+        self.decimal = [str(i).encode() for i in range(len(self.pieces))]
+        # words in use (tokens as 32-bit numbers), and those in use before the last time the memory was full
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _library(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -131,34 +138,38 @@ class Encoder:
             out.append(ids[start:])
         return out
 
+    def _remember(self, words: list[bytes], tokens: list[bytes]) -> None:
+        self.known.update(zip(words, tokens))
+        self.held += sum(map(len, words)) + sum(map(len, tokens)) + ENTRY_BYTES * len(words)
+
     def learn(self, parts: list[bytes]) -> None:
         """Remember the words of several strings."""
-        if len(self.known) > MEMORY:
-            self.known, self.older = {}, self.known
+        if self.held > MEMORY:
+            self.known, self.older, self.held = {}, self.known, 0
         words = set().union(*(part.split() for part in parts)).difference(self.known)
-        new = []
-        for word in words:
-            if len(word) <= MEMORABLE and BORDER_BYTE not in word:
-                ids = self.older.get(word)
-                if ids is None:
-                    new.append(word)
-                else:
-                    self.known[word] = ids
-        self.known.update(zip(new, self._words(new)))
-
-    def encode(self, part: bytes) -> list[int]:
+        words = [w for w in words if len(w) <= MEMORABLE and BORDER_BYTE not in w]
+        again = [w for w in words if w in self.older]
+        self._remember(again, [self.older[w] for w in again])
+        new = [w for w in words if w not in self.known]
+        self._remember(new, [_packed(ids) for ids in self._words(new)])
+
+    def tokens(self, part: bytes) -> bytes:
+        """Tokens as 32-bit numbers, one behind the other."""
         words = part.split()
         try:
-            return list(chain.from_iterable(map(self.known.__getitem__, words)))
+            return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            return list(chain.from_iterable(map(self._word, words)))
+            return b"".join(map(self._word, words))
+
+    def encode(self, part: bytes) -> list[int]:
+        return _numbers(self.tokens(part))
 
-    def _word(self, word: bytes) -> list[int]:
+    def _word(self, word: bytes) -> bytes:
         ids = self.known.get(word)
         if ids is None:
-            ids = self._library(word.decode("utf-8", "replace"))
+            ids = _packed(self._library(word.decode("utf-8", "replace")))
             if len(word) <= MEMORABLE:
-                self.known[word] = ids
+                self._remember([word], [ids])
         return ids
 
     def decode(self, ids: list[int]) -> str:
@@ -168,7 +179,21 @@ class Encoder:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
 
-def _ends(chunk: bytes, ids: list[int], encoder: Encoder) -> tuple[bytes, list[int], bytes] | None:
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+def _numbers(tokens: bytes) -> list[int]:
+    return np.frombuffer(tokens, "<i4").tolist()
+
+
+@functools.cache
+def shared_encoder(path: str) -> Encoder:
+    """One for a Python process, whatever tasks and stages it works for: words are learned once."""
+    return Encoder(path)
+
+
+def _ends(chunk: bytes, ids: bytes, encoder: Encoder) -> tuple[bytes, bytes, bytes] | None:
     """Head, tokens between, and tail of an encoded chunk.
 
     Head and tail reach to the first and last blank, or further until what they encode to agrees with
@@ -182,7 +207,7 @@ def _ends(chunk: bytes, ids: list[int], encoder: Encoder) -> tuple[bytes, list[i
         if a is None or b is None or a > b:
             return None
         head, tail = chunk[:a], chunk[b + 1 :]
-        front, back = encoder.encode(head), encoder.encode(tail)
+        front, back = encoder.tokens(head), encoder.tokens(tail)
         cut = len(ids) - len(back)
         if len(front) <= cut and ids[: len(front)] == front and ids[cut:] == back:
             return head, ids[len(front) : cut], tail
@@ -210,74 +235,146 @@ def _nth_blank(chunk: bytes, n: int, blanks: list[int] | None) -> int | None:
     return found
 
 
-def assemble(parts: list[bytes], encoded: list[list[int] | None], encoder: Encoder) -> list[int]:
+def _assembled(parts: list[bytes], encoded: list[bytes | None], encoder: Encoder) -> bytes:
     """Tokens of the whole text, given its chunks and their tokens (None: not encoded yet)."""
-    out: list[int] = []
+    out: list[bytes] = []
     torn: list[bytes] = []  # what lies around the last cut and is not settled
     for i, (chunk, ids) in enumerate(zip(parts, encoded)):
         if ids is None:
-            ids = encoder.encode(chunk)
+            ids = encoder.tokens(chunk)
         ends = _ends(chunk, ids, encoder) if len(parts) > 1 else (b"", ids, b"")
         if ends is None:
             torn.append(chunk)
             continue
         head, inner, tail = ends
-        if i:
-            torn.append(head)
-            out += encoder.encode(b"".join(torn))
-        else:
-            out += encoder.encode(head)
-        out += inner
+        torn.append(head)
+        out += [encoder.tokens(b"".join(torn)), inner]
         torn = [tail]
-    return out + encoder.encode(b"".join(torn))
+    return b"".join([*out, encoder.tokens(b"".join(torn))])
+
+
+def assemble(parts: list[bytes], encoded: list[list[int] | None], encoder: Encoder) -> list[int]:
+    return _numbers(_assembled(parts, [ids if ids is None else _packed(ids) for ids in encoded], encoder))
+
+
+def _joined(parts: list[bytes], encoded: list[bytes | None]) -> tuple[list[bytes], list[bytes | None]]:
+    """Chunks that are not encoded yet as one with their neighbours."""
+    out: list[list[bytes]] = []
+    tokens: list[bytes | None] = []
+    for part, ids in zip(parts, encoded):
+        if ids is None and tokens and tokens[-1] is None:
+            out[-1].append(part)
+        else:
+            out.append([part])
+            tokens.append(ids)
+    return [b"".join(o) for o in out], tokens
 
 
 # -- passes -----------------------------------------------------------------------------------
 
+#: What a text gives: number of tokens, and as asked for, tokens, decoded text, and their digests.
+RESULTS = {
+    "n_tokens": "bigint", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string",
+}
+_KINDS = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+class Results:
+    """Columns of results, text by text."""
+
+    def __init__(self, encoder: Encoder, wanted: Sequence[str]):
+        self.encoder, self.wanted = encoder, wanted
+        self.rows: list[tuple | None] = []
+
+    def of(self, tokens: bytes) -> tuple:
+        ids = _numbers(tokens)
+        need = set(self.wanted)
+        decoded = self.encoder.decode(ids) if need & {"decoded", "decoded_sha256"} else None
+        made = {"n_tokens": len(ids), "ids": tokens, "decoded": decoded}
+        if "ids_sha256" in need:
+            made["ids_sha256"] = hashlib.sha256(b" ".join(map(self.encoder.decimal.__getitem__, ids))).hexdigest()
+        if "decoded_sha256" in need:
+            made["decoded_sha256"] = hashlib.sha256(decoded.encode()).hexdigest()
+        return tuple(made[name] for name in self.wanted)
+
+    def columns(self) -> dict[str, pa.Array]:
+        out = {}
+        for k, name in enumerate(self.wanted):
+            values = [row and row[k] for row in self.rows]
+            if name == "ids":
+                ends = np.cumsum([0, *(len(v or b"") // 4 for v in values)])
+                flat = pa.array(np.frombuffer(b"".join(v or b"" for v in values), "<i4"))
+                # a null is marked at its start
+                starts = pa.array(ends, pa.int32(), mask=np.array([*(v is None for v in values), False]))
+                out[name] = pa.ListArray.from_arrays(starts, flat)
+            else:
+                out[name] = pa.array(values, _KINDS[RESULTS[name]])
+        return out
+
+
+def _schema(wanted: Sequence[str], *others: str) -> str:
+    return ", ".join([*(f"{name} {RESULTS[name]}" for name in wanted), *others])
+
+
+def _batch(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def _text_key(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=16, person=b"text").digest()
+
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, slot, of): the chunks of every text, and a mark of the text."""
+    """Rows (key, slot, of): the chunks of every text with a mark of the text; the texts with a mark of the slice."""
+    task = TaskContext.get()
+    slice_no = (task.partitionId() if task else 0) << 32
     for _, raw in texts(batches):
-        keys, of = [], []
-        for text, parts in zip(raw, chunks(raw)):
+        slice_no += 1
+        different = {text for text in raw if text}
+        keys = [_text_key(text) for text in different]
+        of = [slice_no] * len(keys)
+        for text, parts in zip(different, chunks(list(different))):
             mark = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
             own = {chunk_key(c) for c in parts}
             keys += own
             of += [mark] * len(own)
         slots = _slots(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(slots), pa.array(of, pa.int64())], ["key", "slot", "of"])
-
-
-_DONE = "row bigint, doc_id bigint, ids array<int>"
+        yield _batch({"key": pa.array(keys, pa.binary()), "slot": pa.array(slots), "of": pa.array(of, pa.int64())})
 
 
-def _ids(ids: list[list[int]]) -> pa.Array:
-    return pa.array(ids, pa.list_(pa.int32()))
-
-
-def _encode_in_place(path: str, marked):
-    """Tokens of texts without a marked chunk; the text of the others."""
+def _encode_in_place(path: str, marked, wanted: Sequence[str]):
+    """Results of texts without a mark; of marked texts the key, and the text once for the slice; of texts
+    with marked chunks the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, bitmap = Encoder(path), marked.value
+        encoder, bitmap = shared_encoder(path), marked.value
         for batch, raw in texts(batches):
-            cut = chunks(raw)
+            different = list(dict.fromkeys(raw))
+            cut = chunks(different)
+            whole = [_text_key(text) for text in different]
             keys = [chunk_key(c) for doc in cut for c in doc]
             hits = in_bitmap(bitmap, _slots(keys)) if keys else np.zeros(0, bool)
-            at, alone = 0, []
-            for i, doc in enumerate(cut):
-                if not hits[at : at + len(doc)].any():
-                    alone.append(i)
+            again = in_bitmap(bitmap, _slots(whole))
+            at, alone = 0, set()
+            for i, (text, doc) in enumerate(zip(different, cut)):
+                if not text or not (again[i] or hits[at : at + len(doc)].any()):
+                    alone.add(text)
                 at += len(doc)
-            encoder.learn([c for i in alone for c in cut[i]])
-            ids = [assemble(cut[i], [None] * len(cut[i]), encoder) for i in alone]
-            made = _ids(ids)
-            rest = np.setdiff1d(np.arange(len(raw)), alone)
-            index = pa.array(np.concatenate([np.array(alone, np.int64), rest]))
-            columns = {c: batch.column(c).take(index) for c in ("row", "doc_id")}
-            columns["ids"] = pa.concat_arrays([made, pa.nulls(len(rest), made.type)])
-            columns["text"] = pa.array([None] * len(alone) + [raw[i] for i in rest.tolist()], pa.binary())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            encoder.learn(list(alone))
+            results = Results(encoder, wanted)
+            made = {text: results.of(encoder.tokens(text)) for text in alone}
+            copies = {text: key for text, key, is_ in zip(different, whole, again.tolist()) if is_ and text}
+            results.rows = [made.get(text) for text in raw]
+            given: set[bytes] = set()
+            body = []
+            for text in raw:
+                body.append(None if text in alone or text in given else text)
+                if text in copies:
+                    given.add(text)
+            yield _batch({
+                "row": batch.column("row"), "doc_id": batch.column("doc_id"), **results.columns(),
+                "key": pa.array([copies.get(text) for text in raw], pa.binary()), "text": pa.array(body, pa.binary()),
+            })
 
     return run
 
@@ -293,94 +390,92 @@ def _marked_chunks(marked, with_text: bool):
             hits = np.flatnonzero(in_bitmap(marked.value, _slots(keys))).tolist() if keys else []
             if with_text:
                 first = {keys[k]: flat[k][2] for k in hits}
-                yield pa.RecordBatch.from_arrays([pa.array(list(first), pa.binary()), pa.array(list(first.values()), pa.binary())], ["key", "chunk"])
+                yield _batch({"key": pa.array(list(first), pa.binary()), "chunk": pa.array(list(first.values()), pa.binary())})
             else:
-                rows = batch.column("row").take(pa.array([flat[k][0] for k in hits], pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [rows, pa.array([flat[k][1] for k in hits], pa.int32()), pa.array([keys[k] for k in hits], pa.binary())],
-                    ["row", "pos", "key"],
-                )
+                yield _batch({
+                    "row": batch.column("row").take(pa.array([flat[k][0] for k in hits], pa.int64())),
+                    "pos": pa.array([flat[k][1] for k in hits], pa.int32()), "key": pa.array([keys[k] for k in hits], pa.binary()),
+                })
 
     return run
 
 
 def _encode_chunks(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = shared_encoder(path)
         for batch, raw in texts(batches, "chunk"):
             encoder.learn(raw)
-            ids = [np.array(encoder.encode(c), "<u4").tobytes() for c in raw]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(ids, pa.binary())], ["key", "ids"])
+            yield _batch({"key": batch.column("key"), "ids": pa.array([encoder.tokens(c) for c in raw], pa.binary())})
 
     return run
 
 
-def _put_together(path: str):
-    """Texts with their marked chunks' tokens (arrays of places and of tokens), to the tokens of all."""
+def _encode_texts(path: str, wanted: Sequence[str]):
+    """Results of texts that are there several times, by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = shared_encoder(path)
         for batch, raw in texts(batches):
-            done = []
-            cut = chunks(raw)
-            for i, parts in enumerate(cut):
-                encoded: list[list[int] | None] = [None] * len(parts)
-                for place in batch.column("chunks")[i].as_py() or []:
-                    encoded[place["pos"]] = np.frombuffer(place["ids"], "<u4").tolist()
-                encoder.learn([p for p, ids in zip(parts, encoded) if ids is None])
-                done.append(assemble(parts, encoded, encoder))
-            columns = {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "ids": _ids(done)}
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            encoder.learn(raw)
+            results = Results(encoder, wanted)
+            results.rows = [results.of(encoder.tokens(text)) for text in raw]
+            yield _batch({"key": batch.column("key"), **results.columns()})
 
     return run
 
 
-def _decode(path: str):
-    """Tokens with the text that they decode to."""
+def _put_together(path: str, wanted: Sequence[str]):
+    """Results of texts that come with their marked chunks' places and tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        for whole in batches:
-            for a in range(0, whole.num_rows, DECODED):
-                batch = whole.slice(a, DECODED)
-                plain = [encoder.decode(ids) for ids in batch.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("ids"), pa.array(plain, pa.string())], ["doc_id", "ids", "decoded"]
-                )
+        encoder = shared_encoder(path)
+        for batch, raw in texts(batches):
+            results = Results(encoder, wanted)
+            ready = []
+            places = batch.column("chunks")
+            for i, parts in enumerate(chunks(raw)):
+                encoded: list[bytes | None] = [None] * len(parts)
+                for place in places[i].as_py() or []:
+                    encoded[place["pos"]] = place["ids"]
+                ready.append(_joined(parts, encoded))
+            encoder.learn([p for parts, encoded in ready for p, ids in zip(parts, encoded) if ids is None])
+            results.rows = [results.of(_assembled(parts, encoded, encoder)) for parts, encoded in ready]
+            yield _batch({"doc_id": batch.column("doc_id"), **results.columns()})
 
     return run
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids, decoded, ids_sha256, decoded_sha256`` of every row of ``docs``.
+def encode(docs: DataFrame, path: str, wanted: Sequence[str] = tuple(RESULTS)) -> DataFrame:
+    """``doc_id`` and of ``n_tokens, ids, decoded, ids_sha256, decoded_sha256`` those ``wanted``, for every row.
 
     ``ids`` are the tokens and ``decoded`` the text they decode to; the digests are of the decimal ids
-    joined by single spaces and of the decoded text, and cost nothing where they are not selected. A
-    null text counts as empty (no tokens; digests of nothing). Repeated rows and null ids each give a
-    row; other columns are not looked at.
+    joined by single spaces and of the decoded text. A null text counts as empty (no tokens; digests of
+    nothing). Repeated rows and null ids each give a row; other columns are not looked at.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    wanted = [name for name in RESULTS if name in wanted]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     sc = docs.sparkSession.sparkContext
     counted = docs.select("text").mapInArrow(_count, "key binary, slot bigint, of bigint")
     shared = counted.groupBy("key", "slot").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low <> high")
     marked = sc.broadcast(bitmap_of(shared, "slot"))
     first = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _encode_in_place(path, marked), f"{_DONE}, text binary"
+        _encode_in_place(path, marked, wanted), f"row bigint, doc_id bigint, {_schema(wanted, 'key binary', 'text binary')}"
     )
     first = hand_over(first, "bpe-first")  # from here on a row's number is fixed
-    waiting = first.filter(F.col("text").isNotNull()).select("row", "doc_id", "text")
-    bodies = waiting.select("text").mapInArrow(_marked_chunks(marked, True), "key binary, chunk binary")
-    once = bodies.groupBy("key").agg(F.first("chunk").alias("chunk"))
-    tokens = hand_over(once.mapInArrow(_encode_chunks(path), "key binary, ids binary"), "bpe-chunks")
+    done = first.filter(F.col("key").isNull() & F.col("text").isNull()).select("doc_id", *wanted)
+
+    again = first.filter(F.col("key").isNotNull())
+    bodies = again.filter(F.col("text").isNotNull()).groupBy("key").agg(F.first("text").alias("text"))
+    once = hand_over(bodies.mapInArrow(_encode_texts(path, wanted), f"key binary, {_schema(wanted)}"), "bpe-texts")
+    copies = again.select("key", "doc_id").join(once, "key").select("doc_id", *wanted)
+
+    waiting = first.filter(F.col("key").isNull() & F.col("text").isNotNull()).select("row", "doc_id", "text")
+    pieces = waiting.select("text").mapInArrow(_marked_chunks(marked, True), "key binary, chunk binary")
+    pieces = pieces.groupBy("key").agg(F.first("chunk").alias("chunk"))
+    tokens = hand_over(pieces.mapInArrow(_encode_chunks(path), "key binary, ids binary"), "bpe-chunks")
     places = waiting.select("row", "text").mapInArrow(_marked_chunks(marked, False), "row bigint, pos int, key binary")
     found = hand_over(places, "bpe-places").join(tokens, "key")
     # a text's own chunks: as many as its length allows
     per_row = found.groupBy("row").agg(F.collect_list(F.struct("pos", "ids")).alias("chunks"))
-    late = waiting.join(per_row, "row").mapInArrow(_put_together(path), _DONE)
-    done = first.filter(F.col("text").isNull()).select(*late.columns)
-    made = done.union(late).mapInArrow(_decode(path), "doc_id bigint, ids array<int>, decoded string")
-    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return made.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded",
-        F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    late = waiting.join(per_row, "row").mapInArrow(_put_together(path, wanted), f"doc_id bigint, {_schema(wanted)}")
+    return done.union(copies).union(late)

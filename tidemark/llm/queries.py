@@ -35,8 +35,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(read(spark, sf_dir, "documents"), tokenizer(WORDS))
-    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode(read(spark, sf_dir, "documents"), tokenizer(WORDS), ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
