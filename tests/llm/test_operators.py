@@ -95,6 +95,18 @@ def test_mixing_shares(spark):
     assert {r.doc_id: r["count"] for r in taken.groupBy("doc_id").count().collect()} == expected
 
 
+def test_mixing_takes_nothing_three_times(spark):
+    """A source at its bound, with documents without words: copies are counted, not compared with ``mix``."""
+    rows_ = [(i, "w " * 3 if i < 3 else "", "a") for i in range(33)] + [(100 + i, "w " * 50, "b") for i in range(40)]
+    rows_ += [(200 + i, None, "c") for i in range(20)]
+    taken = mixing.mixed(spark.createDataFrame(rows_, "doc_id long, text string, source string"))
+    counts = Counter(r.doc_id for r in taken.select("doc_id").collect())
+    assert max(counts.values()) <= 2
+    assert all(counts[i] == 2 for i in range(3))
+    words = {i: len(brute.words(t)) for i, t, _ in rows_}
+    assert sum(words[i] * n for i, n in counts.items() if i < 100) == 18
+
+
 def test_mixing_smaller_budget_is_subset(spark):
     docs = spark.createDataFrame([(i, "w " * (i % 9), "s") for i in range(400)], "doc_id long, text string, source string")
     few, more = (
@@ -340,6 +352,16 @@ def test_keep_one(odd, odd_rows):
     assert {by_row[(r.doc_id, r.text)] for r in got if (r.doc_id, r.text) in by_row} == groups
 
 
+def test_keep_one_does_not_depend_on_the_order(spark):
+    docs = [(1, "a b c d e f", n) for n in range(20)] + [(2, "x y z u v w", 3)]
+    kind = "doc_id long, text string, other int"
+    kept = [
+        sorted(map(tuple, jaccard_join.keep_one(spark.createDataFrame(d, kind).repartition(n)).collect()))
+        for d, n in ((docs, 3), (docs[::-1], 5), (docs[::2] + docs[1::2], 1))
+    ]
+    assert len(kept[0]) == 2 and kept[0] == kept[1] == kept[2]
+
+
 # 9 toxicity
 
 

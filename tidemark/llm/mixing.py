@@ -77,7 +77,7 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
         (F.col("target") - F.col("copies") * F.col("source_size")).alias("budget"),
         F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"),
         F.lit(0).cast("long").alias("inside"),
-    )
+    ).filter(F.col("budget") > 0)  # with nothing left over, not even a document without words is taken once more
     for level in range(1, LEVELS + 1):
         shift = HASH_BITS - level * LEVEL_BITS
         at_edge = sized.join(edge, F.col("source").eqNullSafe(F.col("of"))).filter(
