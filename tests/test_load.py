@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -166,8 +167,63 @@ def test_load_lost_before_the_switch_changes_nothing(spark, monkeypatch):
     assert rows_of(read_history(spark, path, schema)) == rows_of(
         spark.createDataFrame([("u", "1", "p", "1", 9), ("a b", None, "p", "1", 0)], ROW))
     # slices that no present or previous list names are gone
-    loads = upsert_module._partitions(spark, f"{path}/data", ["load", "team", "season"])
-    assert len(loads) == 3
+    assert len(list(Path(path).glob("data/load=*/team=*/season=*"))) == 3
+
+
+def test_two_loads_at_once_both_count(spark, monkeypatch):
+    """A load that ends while another is under way: of other slices both stay, of the same one the later merges again."""
+    path, by = workspace(spark, "history"), ["team", "season"]
+    schema = spark.createDataFrame([], ROW).schema
+    load = lambda *rows: spark.createDataFrame(list(rows), ROW)
+    upsert_table(spark, path, load(("u", "1", "p", "1", 0), ("v", "1", "p", "1", 0)), KEYS, by, schema)
+    real, meanwhile = upsert_module._switch, [
+        load(("v", "1", "p", "1", 7), ("w", "1", "p", "1", 7)), load(("u", "1", "q", "1", 7)),
+    ]
+
+    def overtaken(*args):
+        while meanwhile:
+            with monkeypatch.context() as plain:
+                plain.setattr(upsert_module, "_switch", real)
+                upsert_table(spark, path, meanwhile.pop(0), KEYS, by, schema)
+        return real(*args)
+
+    monkeypatch.setattr(upsert_module, "_switch", overtaken)
+    counted = upsert_table(spark, path, load(("u", "1", "p", "1", 9)), KEYS, by, schema)
+    assert rows_of(read_history(spark, path, schema)) == [
+        ("u", "1", "p", "1", 9), ("u", "1", "q", "1", 7), ("v", "1", "p", "1", 7), ("w", "1", "p", "1", 7)]
+    assert rows_of(counted) == [("u", "1", 0, 1, 1)]
+    # a version that is there is not written again
+    assert not upsert_module._new_version(spark, path, 1 + upsert_module._versions(spark, path)[-2], "x")
+
+
+def test_slices_are_pruned_while_the_query_runs(spark):
+    """10,000 wanted slices: the plan has a dynamic condition, and does not grow with them."""
+    path = workspace(spark, "history")
+    schema = spark.createDataFrame([], ROW).schema
+    old = spark.range(40).select(
+        F.concat(F.lit("t"), F.col("id")).alias("team"), F.lit("1").alias("season"), F.lit("p").alias("player_id"),
+        F.lit("1").alias("matchday"), F.lit(0).alias("goals"))
+    upsert_table(spark, path, old, KEYS, ["team", "season"], schema)
+    upsert_table(spark, path, old.filter("team = 't3'"), KEYS, ["team", "season"], schema)
+    wanted = spark.range(3, 10_003).select(F.concat(F.lit("t"), F.col("id")).alias("team"), F.lit("1").alias("season"))
+    got = read_history(spark, path, schema, wanted)
+    assert sorted(r.team for r in got.collect()) == sorted(f"t{n}" for n in range(3, 40))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and len(plan) < 20_000
+
+
+def test_older_rows_stay_out_where_asked(spark):
+    path, by = workspace(spark, "history"), ["team", "season"]
+    kind = "team string, season string, player_id string, v string, goals int"
+    schema = spark.createDataFrame([], kind).schema
+    load = lambda *rows: spark.createDataFrame([("u", "1", *r) for r in rows], kind)
+    keys = ["team", "season", "player_id"]
+    upsert_table(spark, path, load(("p", "2", 2), ("q", "2", 2), ("r", None, 2)), keys, by, schema)
+    late = load(("p", "1", 1), ("q", "3", 3), ("r", "9", 3), ("s", "1", 1), (None, "1", 1))
+    counted = upsert_table(spark, path, late, keys, by, schema, newer_wins="v")
+    assert rows_of(read_history(spark, path, schema).select("player_id", "goals")) == [
+        ("p", 2), ("q", 3), ("r", 2), ("s", 1), (None, 1)]
+    assert rows_of(counted) == [("u", "1", 2, 1, 3)]
 
 
 def test_hot_key_and_null_keys_beyond_broadcast(spark):
@@ -268,7 +324,8 @@ def test_work_list_and_top_n(spark):
 
 def test_large_documents_are_cut_and_come_back_whole(spark):
     rows = spark.range(2600).select(F.lit("one").alias("k"), "id", (F.col("id") * 2).alias("v"))
-    documents = nest.nest_rows(rows, ["k"], "id", ["id", "v"], "rows")
+    assert [r[0] for r in nest.nest_rows(rows, ["k"], "id", ["id"], "rows").select(F.size("rows")).collect()] == [2600]
+    documents = nest.nest_rows(rows, ["k"], "id", ["id", "v"], "rows", 500)
     sizes = sorted(r[0] for r in documents.select(F.size("rows")).collect())
     assert sizes == [100, 500, 500, 500, 500, 500]
     assert nest.flatten_rows(documents, "rows", ["k"]).exceptAll(rows).count() == 0

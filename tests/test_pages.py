@@ -245,3 +245,24 @@ def test_many_open_tables_cost_no_copies(spark):
     started = time.time()
     got = {r.page_id: r.table_no for r in P.match_table_numbers(df).collect()}
     assert got == {0: None, 1: 0} and time.time() - started < 15
+
+
+def test_documents_of_repeated_and_missing_page_ids(spark):
+    """A page's links stay in its row: equal or missing ids change nothing, and nothing is shuffled."""
+    from tidemark.operators import discovery
+
+    pages = spark.createDataFrame(
+        [(5, "GB1", "2025", club("Arsenal FC", 11, 2025)), (5, "GB1", "2025", club("United", 985, 2025)),
+         (None, "GB1", "2025", club("Leeds", 3, 2025) * 2), (6, "GB1", "2025", "<p>none</p>")],
+        "page_id long, league_id string, season string, html string")
+    got = discovery.league_documents(pages, SITE, F.lit("now"))
+    rows = sorted((str(r.page_id), [t.club_id for t in r.teams], r.teams_found) for r in got.collect())
+    assert rows == [("5", ["11"], 1), ("5", ["985"], 1), ("6", [], 0), ("None", ["3"], 1)]
+    rosters = spark.createDataFrame(
+        [(None, "u", "2025", "U", "1", "<a href='/p/profil/spieler/1'>P</a>")] * 2,
+        "page_id long, team string, season string, club string, club_id string, html string")
+    found = discovery.roster_documents(rosters, SITE, F.lit("now"))
+    assert [[p.player_id for p in r.players] for r in found.collect()] == [["1"], ["1"]]
+    for df in (got, found):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan

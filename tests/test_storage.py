@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,3 +172,70 @@ def test_stream_upsert(spark):
         load_new_files(spark, f"{root}/in", schema, f"{root}/checkpoint", each)
     got = read_history(spark, f"{root}/history", schema)
     assert [(r.player_id, r.goals) for r in got.collect()] == [("p", 2)]
+
+
+def test_no_file_of_another_season_is_opened(spark, tmp_path):
+    """Broken files that are not asked for do no harm, as their paths rule them out."""
+    base = tmp_path / "raw" / "site" / "u" / "team_roster"
+    for season in ("2024", "2025"):
+        for day in ("2026-03-26", "2026-03-27"):
+            put(base / season / f"scrape_date={day}.json", {"club": f"{season} {day}", "players": []})
+    put(base / "2023" / "scrape_date=2026-03-27.json", "{broken")
+    put(base / "2025" / "notes.json", "{broken")
+    schema = T.StructType([f for f in ROSTER_SNAPSHOT.fields if f.name in ("club", "players")])
+    got = snapshots.read_snapshot_tree(spark, str(tmp_path / "raw"), schema, "site", season="2025")
+    assert sorted(r.club for r in got.collect()) == ["2025 2026-03-26", "2025 2026-03-27"]
+    execution = got._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    found = re.search(r"number of files read[^0-9]*([0-9]+)", scan_metrics(execution.executedPlan()))
+    assert found and found.group(1) == "2"
+
+
+def scan_metrics(plan) -> str:
+    while plan.children().size():
+        plan = plan.children().apply(0)
+    return f"number of files read: {plan.metrics().apply('numFiles').value()}"
+
+
+def test_three_deliveries_become_one_file_set(spark):
+    root, day = workspace(spark, "folded"), "2026-03-27"
+    kind = "team string, player_id string, club string"
+    common = {"source": F.lit("site"), "artifact": F.lit("x"), "season": F.lit("2025"), "scrape_date": F.lit(day)}
+
+    def deliver(number, *rows):
+        df = spark.createDataFrame([("u", *r) for r in rows], kind).withColumns(common)
+        snapshots.write_snapshots(df, root, TODAY, delivered=F.lit(f"{number:04d}"))
+
+    every = F.lit(True)
+    read = lambda: sorted(tuple(r) for r in snapshots.read_newest(
+        spark, root, PLAYER_SNAPSHOT, every).select("player_id", "club").collect())
+    deliver(1, ("p", "first"), ("p", "first, row two"))
+    deliver(2, ("q", "second"))
+    deliver(3, ("p", "third"))
+    expected = [("p", "third"), ("q", "second")]
+    assert read() == expected
+    replaced = snapshots.compact_snapshots(spark, root, PLAYER_SNAPSHOT, every)
+    assert len(replaced) >= 3 and read() == expected  # readers see old and new files together
+    deliver(4, ("q", "fourth"))
+    assert read() == [("p", "third"), ("q", "fourth")]
+    manifest.remove(spark, replaced)
+    assert read() == [("p", "third"), ("q", "fourth")]
+    manifest.remove(spark, snapshots.compact_snapshots(spark, root, PLAYER_SNAPSHOT, every))
+    manifest.remove(spark, replaced)  # once more does no harm
+    assert read() == [("p", "third"), ("q", "fourth")]
+    assert len(list(Path(root).rglob("part-*.json"))) == 1
+    assert snapshots.compact_snapshots(spark, root, PLAYER_SNAPSHOT, F.lit(False)) == []
+
+
+@pytest.mark.parametrize("by", [["d"], ["team", "d"], ["team", "season", "kind", "d"]])
+def test_retention_at_any_depth(spark, by):
+    path = workspace(spark, "expiring")
+    df = spark.range(600).select(
+        F.col("id"), (F.col("id") % 3).cast("string").alias("team"), F.lit("a b+c").alias("season"), F.lit("x").alias("kind"),
+        F.when(F.col("id") % 100 != 7, F.date_sub(F.lit(TODAY), (F.col("id") % 40).cast("int")).cast("string")).alias("d"))
+    df.write.partitionBy(*by).parquet(path)
+    gone = staging.drop_expired(spark, path, TODAY, 14, "d")
+    assert gone and staging.drop_expired(spark, path, TODAY, 14, "d") == []
+    left = {r.id for r in read_table(spark, path, df.schema).select("id").collect()}
+    assert left == {n for n in range(600) if n % 100 == 7 or n % 40 <= 14}
+    assert staging.drop_expired(spark, path + "-none", TODAY) == []

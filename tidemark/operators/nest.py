@@ -7,22 +7,21 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_PART = 500
-
-
 def nest_rows(
     df: DataFrame, keys: list[str], position: str, columns: list[str], into: str,
-    rows_per_part: int = ROWS_PER_PART,
+    rows_per_part: int | None = None,
 ) -> DataFrame:
     """One document per key with its rows as an ordered array.
 
-    ``position`` numbers the rows of a document from 0. A document of more than
-    ``rows_per_part`` rows is kept as several parts (``part_no``), cut by that
-    number, so no task ever holds more than one part of it as an array. Where
-    positions repeat, a part may still be too full; such parts are found by a
-    count over the keys and cut further (``piece_no``). Whatever the cuts,
-    ``flatten_rows`` gives all rows back.
+    ``position`` numbers the rows of a document from 0. With ``rows_per_part``, for documents that no
+    task should hold whole, a document comes as parts (``part_no``) cut by that number; where positions
+    repeat, a part may still be too full: such parts are found by a count over the keys and cut further
+    (``piece_no``). Whatever the cuts, ``flatten_rows`` gives all rows back.
     """
+    if rows_per_part is None:
+        row = F.struct(F.col(position).alias("_pos"), *[F.col(c) for c in columns])
+        whole = df.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias(into))
+        return whole.withColumn(into, F.transform(into, lambda row: F.struct(*[row[c].alias(c) for c in columns])))
     part = F.floor(F.col(position) / F.lit(rows_per_part)).cast("bigint")
     parted = df.select(
         *keys, part.alias("part_no"),

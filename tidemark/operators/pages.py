@@ -69,50 +69,59 @@ def _located(pages: DataFrame, base_url: str, html: str, wanted, parts) -> DataF
     return parted.withColumn("_found", found)
 
 
-def squad_players(pages: DataFrame, base_url: str, html: str = "html") -> DataFrame:
-    """Players linked from roster pages, each once per page, in document order."""
-    found = _located(
-        pages, base_url, html,
-        lambda a: F.contains(a["href"], F.lit(U.PLAYER_LINK)), U.player_parts,
-    )
-    first = each_row(_first_by_id(found, "_found"), "_found", _others(pages, html), "pos")
-    link = F.col("_row.link")
-    return first.select(
-        *_others(pages, html), "pos",
-        first_name(collapse_spaces(link["text"]), slug_to_name(link["slug"])).alias("player_name"),
-        link["slug"].alias("player_slug"),
-        link["id"].alias("player_id"),
-        link["url"].alias("player_url"),
+def _first_links(pages: DataFrame, base_url: str, html: str, wanted, parts, fields) -> DataFrame:
+    """``_found``: of each id the first link, as (pos, ...``fields``), in document order."""
+    found = _first_by_id(_located(pages, base_url, html, wanted, parts), "_found")
+    named = F.transform("_found", lambda x, at: F.struct(at.alias("pos"), *[v.alias(k) for k, v in fields(x["link"]).items()]))
+    return found.withColumn("_found", named)
+
+
+def _player(link: Column) -> dict[str, Column]:
+    return {
+        "player_name": first_name(collapse_spaces(link["text"]), slug_to_name(link["slug"])),
+        "player_slug": link["slug"], "player_id": link["id"], "player_url": link["url"],
+    }
+
+
+def _club(link: Column) -> dict[str, Column]:
+    name = first_name(clean_value(link["title"]), collapse_spaces(link["text"]), slug_to_name(link["slug"]))
+    return {
+        "team_key": team_key(name), "club_name": name, "club_slug": link["slug"], "club_id": link["id"],
+        "team_url": link["url"],
+    }
+
+
+def squad_links(pages: DataFrame, base_url: str, html: str = "html") -> DataFrame:
+    """``_found``: players linked from each roster page, each once, in document order; no page leaves its row."""
+    return _first_links(
+        pages, base_url, html, lambda a: F.contains(a["href"], F.lit(U.PLAYER_LINK)), U.player_parts, _player
     )
 
 
-def league_clubs(
-    pages: DataFrame, base_url: str, season: str = "season", html: str = "html"
-) -> DataFrame:
-    """Clubs of exactly the page's season, from titled links, each once per page."""
-    found = _located(
+def club_links(pages: DataFrame, base_url: str, season: str = "season", html: str = "html") -> DataFrame:
+    """``_found``: clubs of exactly the page's season, from titled links, each once, in document order."""
+    return _first_links(
         pages, base_url, html,
         lambda a: a["title"].isNotNull()
         & F.contains(a["href"], F.lit(U.CLUB_LINK))
         & F.contains(a["href"], F.lit(U.SEASON_LINK))
         & (U.club_link_season(a["href"]) == F.col(season)),
-        U.club_parts,
-    )
-    first = each_row(_first_by_id(found, "_found"), "_found", _others(pages, html), "pos")
-    link = F.col("_row.link")
-    name = first_name(
-        clean_value(link["title"]), collapse_spaces(link["text"]), slug_to_name(link["slug"])
-    )
-    return first.withColumn("club_name", name).select(
-        *_others(pages, html), "pos",
-        team_key(F.col("club_name")).alias("team_key"),
-        "club_name",
-        link["slug"].alias("club_slug"),
-        link["id"].alias("club_id"),
-        link["url"].alias("team_url"),
+        U.club_parts, _club,
     )
 
 
+def squad_players(pages: DataFrame, base_url: str, html: str = "html") -> DataFrame:
+    """Players linked from roster pages, one per line."""
+    return flatten_rows(squad_links(pages, base_url, html), "_found", _others(pages, html))
+
+
+def league_clubs(
+    pages: DataFrame, base_url: str, season: str = "season", html: str = "html"
+) -> DataFrame:
+    """Clubs of exactly the page's season, one per line."""
+    return flatten_rows(club_links(pages, base_url, season, html), "_found", _others(pages, html))
+
+
 def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
     """Every table row of every page: table_no, row_no, cells."""
     kept = _others(pages, html)

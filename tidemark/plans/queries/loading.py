@@ -104,6 +104,34 @@ def upsert_history_table(spark: SparkSession, d: str) -> DataFrame:
     return read_history(spark, path, history.schema)
 
 
+@query("load_summary_slice", f"""
+WITH merged AS ({MERGED_SQL})
+SELECT team, season, count(*) AS rows_in_history, count(DISTINCT player_id) AS distinct_players,
+       max(transformed_at) AS latest_scrape_date
+FROM merged WHERE (team, season) IN (
+  SELECT (l_returnflag, l_linestatus) FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-07-01' AND l_returnflag <> 'A')
+GROUP BY team, season
+""")
+def load_summary_slice(spark: SparkSession, d: str) -> DataFrame:
+    """The summary of some slices only: their folders are found by a join while the query runs."""
+    history, load = history_and_load(spark, d)
+    path = workspace(spark, "history")
+    upsert_table(spark, path, history, KEYS, BY, history.schema)
+    upsert_table(spark, path, load, KEYS, BY, history.schema)
+    asked = load.filter(F.col("team") != "A").select(*BY).distinct()
+    return audit.load_summary(read_history(spark, path, history.schema, asked), BY, "player_id", "transformed_at")
+
+
+@query("load_late_file", MERGED_SQL)
+def load_late_file(spark: SparkSession, d: str) -> DataFrame:
+    """The older file comes last: what the table has in a newer version stays."""
+    history, load = history_and_load(spark, d)
+    path = workspace(spark, "history")
+    for rows in (load, history):
+        upsert_table(spark, path, rows, KEYS, BY, history.schema, newer_wins="transformed_at")
+    return read_history(spark, path, history.schema)
+
+
 @query("merge_metrics", f"""
 WITH {STAGED_SQL},
 hit AS (SELECT count(*) AS n FROM new WHERE EXISTS (

@@ -53,15 +53,22 @@ def append_batch(path: str, by: list[str] | None = None) -> Callable[[DataFrame,
 def upsert_batch(
     path: str, ingested_at: Column | None = None, keys: list[str] = NATURAL_KEY,
     version: str = "transformed_at", by: list[str] = SLICE, schema: T.StructType = HISTORY_ROW,
+    newer_wins: bool = False,
 ) -> Callable[[DataFrame, int], None]:
-    """Dedup and upsert of each batch; corrected snapshots simply win by their version."""
+    """Dedup and upsert of each batch.
+
+    Within a batch the newest version of a key wins. Between batches the later batch does, whatever its
+    versions; with ``newer_wins`` a row that is older than the table's stays out, so a file that comes
+    late changes nothing that is newer.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
         newest = keep_latest(batch, keys, version)
         if ingested_at is not None:
             newest = newest.withColumn("ingested_at", ingested_at)
         upsert_table(
-            batch.sparkSession, path, newest.select(*schema.fieldNames()), keys, by, schema
+            batch.sparkSession, path, newest.select(*schema.fieldNames()), keys, by, schema,
+            version if newer_wins else None,
         )
 
     return each
