@@ -80,15 +80,20 @@ def statistics(text: str | None) -> tuple:
     return len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), again, len(inside)
 
 
-def backoff(texts: list[str | None], least: int) -> list[float]:
+def backoff(texts: list[str | None]) -> list[float]:
+    """Each text by the counts of all the others."""
     tokens = [["\0", *words(lower(t))] if words(t) else [] for t in texts]
     one = collections.Counter(x for t in tokens for x in t)
     two = collections.Counter(p for t in tokens for p in zip(t, t[1:]))
     total = sum(one.values()) - one["\0"]
-    return [
-        sum(math.log(two[p] / one[p[0]]) if two[p] >= least else math.log(0.4 * one[p[1]] / total) for p in zip(t, t[1:]))
-        for t in tokens
-    ]
+    out = []
+    for t in tokens:
+        n, m, rest = one - collections.Counter(t), two - collections.Counter(zip(t, t[1:])), total - len(t) + 1
+        out.append(sum(
+            math.log(m[p] / n[p[0]]) if m[p] else math.log(0.4 * n[p[1]] / rest) if n[p[1]] else math.log(0.16 / (rest + 1))
+            for p in zip(t, t[1:])
+        ))
+    return out
 
 
 def edited(docs: list[tuple[int, str]]) -> list[tuple[int, str]]:

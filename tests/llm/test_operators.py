@@ -248,7 +248,7 @@ def test_licenses(spark, none):
 def test_lm(odd, odd_rows, none, monkeypatch, frequent):
     monkeypatch.setattr(lm_scores, "FREQUENT", frequent)
     expected = Counter(
-        (i, len(brute.words(t)), round(s, 6)) for (i, t), s in zip(odd_rows, brute.backoff([t for _, t in odd_rows], lm_scores.LEAST))
+        (i, len(brute.words(t)), round(s, 6)) for (i, t), s in zip(odd_rows, brute.backoff([t for _, t in odd_rows]))
     )
     got = lm_scores.lm_scores(odd).collect()
     assert Counter((r.doc_id, r.n_words, round(r.score, 6) + 0.0) for r in got) == expected
@@ -256,10 +256,12 @@ def test_lm(odd, odd_rows, none, monkeypatch, frequent):
     assert lm_scores.lm_scores(none).count() == 0
 
 
-def test_lm_keeps_every_pair(odd, odd_rows):
-    expected = Counter((i, round(s, 6)) for (i, _), s in zip(odd_rows, brute.backoff([t for _, t in odd_rows], 1)))
-    got = lm_scores.lm_scores(odd, least=1).collect()
-    assert Counter((r.doc_id, round(r.score, 6) + 0.0) for r in got) == expected
+def test_lm_takes_a_text_off_its_own_counts(spark):
+    """What a text alone has backs off, however often it has it; what another has too does not."""
+    docs = [(1, "a b a b a b"), (2, "c d"), (3, "c d"), (4, "d c")]
+    got = {r.doc_id: r.score for r in lm_scores.lm_scores(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == pytest.approx(dict(zip((1, 2, 3, 4), brute.backoff([t for _, t in docs]))))
+    assert got[2] == got[3] > got[4] > got[1]
 
 
 # 8 Jaccard join

@@ -1,16 +1,19 @@
 """Language-model scores by stupid backoff, worked out relationally.
 
-Counts of words and word pairs come from all documents. A pair seen ``LEAST`` times or more scores its
-count over its first word's count; any other pair scores ``BACKOFF`` times its second word's share of
-all words. A document's score is the sum of the logarithms.
-
-1. Each task counts the n-grams of its texts. What it sends are tables, one for each bucket of hashes:
-   sorted hashes and counts as two binaries, 7 bytes or so an n-gram. The tables of a bucket are added up
-   in one task; there are as many buckets as keep that task small, whatever the input is.
+Counts of words and word pairs come from all documents, and a document is scored with its own
+occurrences taken off them: what it alone has does not speak for it. A pair that other documents have
+scores its count over its first word's count; any other pair scores ``BACKOFF`` times its second
+word's share of all words, and a word that no other document has ``BACKOFF`` squared times that of one
+word. A document's score is the sum of the logarithms.
+
+1. Each task counts the n-grams of its texts, and in how many texts a pair is. Spark adds the counts up
+   by hash. Pairs of a single text leave the table: without that text's own they are not there.
 2. The most frequent n-grams, a fixed number of them, are sent to all tasks: a task settles their
-   occurrences where they are. All other occurrences become rows (document, n-gram, times), are joined
-   with the count tables by hash, and are summed per document. A bitmap of the pair table of fixed size
-   tells most pairs that are not in it, which go to the word table at once.
+   occurrences where they are, and takes for the others that the pair is not found. A bitmap of the pair
+   table of fixed size tells most pairs that are not in it, for which this is the end.
+3. The other occurrences become rows (document, pair, times, what finding it adds), are joined with the
+   count table by hash, and are summed per document. Where a word is not among the frequent ones, its
+   counts are joined as well.
 """
 
 from __future__ import annotations
@@ -25,14 +28,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bitmap_of, hand_over, in_bitmap, mix, signed, texts, word_hashes
 
 BACKOFF = 0.4
-#: A word pair with fewer occurrences is left out of the table.
-LEAST = 3
 #: Words and pairs that are sent to all tasks, at most, 16 bytes each; bits of the bitmap of pairs.
-FREQUENT, PAIR_BITS = 1 << 20, 1 << 27
-#: Words that a task counts before it sends their counts on, and bytes of text per bucket of hashes.
-COUNT_WORDS, BUCKET_BYTES = 3_000_000, 4 << 20
+FREQUENT, PAIR_BITS = 1 << 20, 1 << 26
+#: N-grams that a task adds up before it sends their counts on.
+HELD = 1_500_000
 
 _U = np.uint64
+_PRIME = _U(0x9E3779B97F4A7C15)
 _START = mix(np.array([1], np.uint64))[0]
 #: Words and pairs share the tables; a pair's hash is odd, a word's even.
 _ONE = _U(1)
@@ -56,83 +58,45 @@ def pairs_of(before: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(mix(before + _U(2)) + words) | _ONE
 
 
-def _packed(grams: np.ndarray) -> bytes:
-    """Sorted hashes as differences, byte by byte: the upper bytes are nearly all zero, and compress."""
-    steps = np.diff(grams, prepend=_U(0)).astype("<u8")
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _unpacked(packed: bytes) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view("<u8").ravel()
-    return np.cumsum(steps, dtype=_U)
-
-
-def _tables(grams: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Sorted n-grams and counts, cut into the buckets of their upper bits."""
-    bucket = (grams >> _U(40)) * _U(buckets) >> _U(24)
-    cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=_U))
-    wide = counts.astype("<u4")
-    used = np.flatnonzero(np.diff(cuts)).tolist()
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(used, pa.int32()), pa.array([_packed(grams[cuts[b] : cuts[b + 1]]) for b in used], pa.binary()),
-            pa.array([wide[cuts[b] : cuts[b + 1]].tobytes() for b in used], pa.binary()),
-        ],
-        ["bucket", "grams", "counts"],
-    )
-
-
-def _count(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def counted() -> pa.RecordBatch:
-            grams, n = np.unique(np.concatenate(held), return_counts=True)
+def _own(owner: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the n-grams of each text: a place of each, how often the text has it, and that by occurrence."""
+    code = mix(grams + owner.astype(_U) * _PRIME)
+    _, first, which, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+    return first, n, n[which]
+
+
+def _summed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    grams, n, in_texts = (np.concatenate(c) for c in zip(*held))
+    order = np.argsort(grams, kind="stable")
+    grams = grams[order]
+    start = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    return grams[start], np.add.reduceat(n[order], start), np.add.reduceat(in_texts[order], start)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (gram, n, texts)."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def rows() -> pa.RecordBatch:
+        grams, n, in_texts = held[0]
+        return pa.RecordBatch.from_arrays([pa.array(signed(grams)), pa.array(n), pa.array(in_texts)], ["gram", "n", "texts"])
+
+    for _, raw in texts(batches):
+        words, first = words_of(raw)
+        if not len(words):
+            continue
+        owner = np.repeat(np.arange(len(raw)), np.diff(first))
+        pairs = pairs_of(before_of(words, first), words)
+        at, n, _ = _own(owner, pairs)
+        word, of_word = np.unique(words, return_counts=True)
+        starts = np.array([_START & ~_ONE], _U), np.array([(np.diff(first) > 0).sum()]), np.zeros(1, np.int64)
+        held += [(pairs[at], n, np.ones(len(at), np.int64)), (word, of_word, np.zeros(len(word), np.int64)), starts]
+        held[:] = [_summed(held)]
+        if len(held[0][0]) > HELD:
+            yield rows()
             held.clear()
-            return _tables(grams, n, buckets)
-
-        for _, raw in texts(batches):
-            words, first = words_of(raw)
-            starts = np.full(int((np.diff(first) > 0).sum()), _START & ~_ONE, _U)
-            held += [words, pairs_of(before_of(words, first), words), starts]
-            size += len(words)
-            if size >= COUNT_WORDS:
-                yield counted()
-                size = 0
-        if size:
-            yield counted()
-
-    return run
-
-
-def _add_up(least: int):
-    """Tables sorted by bucket, to rows (gram, n); pairs below ``least`` stay out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def total(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-            grams = np.concatenate([_unpacked(g) for g, _ in held])
-            counts = np.concatenate([np.frombuffer(c, "<u4") for _, c in held])
-            order = np.argsort(grams, kind="stable")
-            grams, counts = grams[order], counts[order]
-            first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-            n = np.add.reduceat(counts.astype(np.int64), first)
-            grams = grams[first]
-            keep = ((grams & _ONE) == 0) | (n >= least)
-            return pa.RecordBatch.from_arrays([pa.array(signed(grams[keep])), pa.array(n[keep])], ["gram", "n"])
-
-        at, held = None, []
-        for batch in batches:
-            for bucket, grams, counts in zip(*(batch.column(c).to_pylist() for c in ("bucket", "grams", "counts"))):
-                if bucket != at and held:
-                    yield total(held)
-                    held = []
-                at = bucket
-                held.append((grams, counts))
-        if held:
-            yield total(held)
-
-    return run
+    if held:
+        yield rows()
 
 
 def _look(keys: np.ndarray, logs: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,61 +106,78 @@ def _look(keys: np.ndarray, logs: np.ndarray, grams: np.ndarray) -> tuple[np.nda
     return keys[at] == grams, logs[at].astype(np.float64)
 
 
+_ROWS = (
+    "row bigint, doc_id bigint, n_words bigint, settled double, gram bigint, own bigint, adds double, "
+    "first bigint, back bigint, own_first bigint, own_back bigint, others double"
+)
+
+
 def _score(packed):
-    """A text's settled score, and its other n-grams: rows (row, doc_id, n_words, settled, gram, first, back, times).
+    """A text's settled score, and rows for the pairs that are to be looked up.
 
-    ``gram`` is a pair to look up, null for a word; ``first`` its first word; ``back`` the word to fall
-    back on.
+    ``adds`` is what a pair adds for each time if it is found, beside the logarithm of its count. It is
+    null where a word's count is not at hand: ``first`` and ``back`` are to be looked up then, ``gram``
+    too if there is one, and nothing of the pair is settled. ``others``: words of all other texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair_keys, pair_logs, word_keys, word_logs, bitmap, total = packed.value
-        step = np.log(BACKOFF) - np.log(total)
+        pair_keys, pair_counts, word_keys, word_counts, bitmap, total = packed.value
         for batch, raw in texts(batches):
             words, first = words_of(raw)
+            sizes = np.diff(first)
+            owner = np.repeat(np.arange(len(raw)), sizes)
             before = before_of(words, first)
-            pairs = pairs_of(before, words)
-            owner = np.repeat(np.arange(len(raw)), np.diff(first))
+            all_pairs = pairs_of(before, words)
+            own_word = _own(owner, words)[2]
+            own_before = np.ones(len(words), np.int64)
+            own_before[1:] = own_word[:-1]
+            own_before[first[:-1][sizes > 0]] = 1  # the start mark
+            at, own, _ = _own(owner, all_pairs)
+            pairs, owner_, before, words = all_pairs[at], owner[at], before[at], words[at]
+            own_before, own_word = own_before[at], own_word[at]
+            others = total - sizes[owner_]
             maybe = in_bitmap(bitmap, pairs)
-            known, pair_log = _look(pair_keys, pair_logs, pairs)
-            # the word that the score needs: the pair's first, or the one to fall back on
-            has, log = _look(word_keys, word_logs, np.where(known, before, words))
-            done = has & (known | ~maybe)
-            part = np.where(known, pair_log - log, log + step)
-            settled = np.bincount(owner[done], part[done], len(raw))
-            at = np.flatnonzero(~done)
-            gram = np.where(maybe[at], pairs[at], _U(0))
-            # an n-gram that a text repeats goes once, with its number
-            order = at[np.lexsort((words[at], gram, owner[at]))]
-            gram, o = np.where(maybe[order], pairs[order], _U(0)), owner[order]
-            new = np.ones(len(order), bool)
-            new[1:] = (o[1:] != o[:-1]) | (gram[1:] != gram[:-1]) | (words[order][1:] != words[order][:-1])
-            start = np.flatnonzero(new)
-            times = np.diff(np.append(start, len(order)))
-            one = order[start]
-            lines, none = np.arange(len(raw)), len(raw)
-
-            def own(values, kind):
-                return pa.concat_arrays([pa.array(values, kind), pa.nulls(len(one), kind)])
-
-            def extra(values, mask=None):
-                return pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(values, pa.int64(), mask=mask)])
-
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row").take(pa.array(np.concatenate([lines, owner[one]]))),
-                    own(batch.column("doc_id").to_pylist(), pa.int64()), own(np.diff(first), pa.int64()),
-                    own(settled, pa.float64()), extra(signed(pairs[one]), ~maybe[one]), extra(signed(before[one]), ~maybe[one]),
-                    extra(signed(words[one])), extra(times),
-                ],
-                ["row", "doc_id", "n_words", "settled", "gram", "first", "back", "times"],
-            )
+            known, n_pair = _look(pair_keys, pair_counts, pairs)
+            has_first, n_first = _look(word_keys, word_counts, before)
+            has_back, n_back = _look(word_keys, word_counts, words)
+            ready = has_back & (has_first | ~maybe)
+            n_first, n_back, n_pair = n_first - own_before, n_back - own_word, n_pair - own
+            with np.errstate(divide="ignore", invalid="ignore"):
+                missed = np.where(
+                    n_back > 0, np.log(BACKOFF) + np.log(n_back) - np.log(others), 2 * np.log(BACKOFF) - np.log(others + 1)
+                )
+                found = np.where(known & (n_pair > 0), np.log(n_pair) - np.log(n_first), missed)
+                adds = -np.log(n_first) - missed
+            settled = np.bincount(owner_[ready], (found * own)[ready], len(raw))
+            ask = np.flatnonzero(ready & maybe & ~known & (n_first > 0))
+            late = np.flatnonzero(~ready)
+            both = np.concatenate([ask, late])
+            lines, none = len(raw), len(both)
+
+            def of_text(values, kind):
+                return pa.concat_arrays([pa.array(values, kind), pa.nulls(none, kind)])
+
+            def of_pair(values, kind, mask=None):
+                return pa.concat_arrays([pa.nulls(lines, kind), pa.array(values, kind, mask=mask)])
+
+            long, real = pa.int64(), pa.float64()
+            is_late = np.arange(none) >= len(ask)
+            columns = {
+                "row": batch.column("row").take(pa.array(np.concatenate([np.arange(lines), owner_[both]]))),
+                "doc_id": of_text(batch.column("doc_id").to_pylist(), long), "n_words": of_text(sizes, long),
+                "settled": of_text(settled, real), "gram": of_pair(signed(pairs[both]), long, ~maybe[both]),
+                "own": of_pair(own[both], long), "adds": of_pair(adds[both], real, is_late),
+                "first": of_pair(signed(before[both]), long, ~is_late), "back": of_pair(signed(words[both]), long, ~is_late),
+                "own_first": of_pair(own_before[both], long, ~is_late), "own_back": of_pair(own_word[both], long, ~is_late),
+                "others": of_pair(others[both].astype(float), real, ~is_late),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
 def _frequent(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams above the least count that leaves no more than ``FREQUENT``, and their logarithms.
+    """The n-grams above the least count that leaves no more than ``FREQUENT``, and their counts.
 
     The count comes from a histogram, so nothing is sorted and no task sees the table.
     """
@@ -208,49 +189,48 @@ def _frequent(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             break
         cut = row["level"]
     rows = table.filter(level >= cut).toArrow()
-    keys, logs = rows.column("gram").to_numpy().view(_U), np.log(rows.column("n").to_numpy())
+    keys, counts = rows.column("gram").to_numpy().view(_U), rows.column("n").to_numpy().astype(float)
     order = np.argsort(keys)
-    return keys[order], logs[order]
+    return keys[order], counts[order]
 
 
-def lm_scores(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def lm_scores(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, score, mean_score`` of every row of ``docs``.
 
     Words are lower-cased (A-Z) runs between white space; a text's first word follows a start mark. A
-    text without words has score 0 and no mean. Repeated rows count as often as they stand there, in
-    the counts and in the result. Pairs seen fewer than ``least`` times back off; with 1 no pair that
-    was seen does. Other columns are not looked at.
+    text without words has score 0 and no mean. Repeated rows are documents of their own: each is scored
+    with the others' counts. Other columns are not looked at.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(min(1 << 22, max(16, size // BUCKET_BYTES)))
-    tables = docs.select("text").mapInArrow(_count(buckets), "bucket int, grams binary, counts binary")
-    dealt = tables.repartition("bucket").sortWithinPartitions("bucket")
-    counts = hand_over(dealt.mapInArrow(_add_up(least), "gram bigint, n bigint"), "lm-counts")
+    counted = docs.select("text").mapInArrow(_count, "gram bigint, n bigint, texts bigint")
+    counts = counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
     is_pair = F.col("gram").bitwiseAND(F.lit(1)) == 1
+    counts = hand_over(counts.filter(~is_pair | (F.col("texts") > 1)).drop("texts"), "lm-counts")
     pairs, words = counts.filter(is_pair), counts.filter(~is_pair)
     start = F.lit(int((_START & ~_ONE).astype(np.int64)))
-    total = float(words.filter(F.col("gram") != start).agg(F.sum("n")).first()[0] or 1)
+    total = int(words.filter(F.col("gram") != start).agg(F.sum("n")).first()[0] or 0)
     packed = spark.sparkContext.broadcast((*_frequent(pairs), *_frequent(words), bitmap_of(pairs, "gram", PAIR_BITS), total))
-    scored = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _score(packed),
-        "row bigint, doc_id bigint, n_words bigint, settled double, gram bigint, first bigint, back bigint, times bigint",
-    )
-    scored = hand_over(scored, "lm-rows")  # from here on a row's number is fixed
-    texts_ = scored.filter(F.col("back").isNull()).select("row", "doc_id", "n_words", "settled")
-    asked = scored.filter(F.col("back").isNotNull()).select("row", "gram", "first", "back", "times")
-    of_pair = pairs.select("gram", F.log("n").alias("pair_log"))
-    met = asked.filter(F.col("gram").isNotNull()).join(of_pair, "gram", "left")
-    met = met.select("row", "times", F.when(F.col("pair_log").isNotNull(), F.col("first")).otherwise(F.col("back")).alias("word"), "pair_log")
-    single = asked.filter(F.col("gram").isNull()).select("row", "times", F.col("back").alias("word"), F.lit(None).cast("double").alias("pair_log"))
-    of_word = words.select(F.col("gram").alias("word"), F.log("n").alias("log"))
-    both = met.union(single).join(of_word, "word")
-    step = float(np.log(BACKOFF) - np.log(total))
-    part = F.coalesce(F.col("pair_log") - F.col("log"), F.col("log") + F.lit(step)) * F.col("times")
-    parts = both.groupBy("row").agg(F.sum(part).alias("part"))
-    score = F.col("settled") + F.coalesce("part", F.lit(0.0))
-    done = texts_.join(parts, "row", "left").withColumn("score", score)
+    scored = hand_over(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_score(packed), _ROWS), "lm-rows")
+    texts_ = scored.filter(F.col("own").isNull()).select("row", "doc_id", "n_words", "settled")
+    asked = scored.filter(F.col("adds").isNotNull()).select("row", "gram", "own", "adds")
+    met = asked.join(pairs, "gram").filter(F.col("n") > F.col("own"))
+    parts = met.select("row", (F.col("own") * (F.log(F.col("n") - F.col("own")) + F.col("adds"))).alias("part"))
+
+    late = scored.filter(F.col("own").isNotNull() & F.col("adds").isNull())
+    late = late.join(words.select(F.col("gram").alias("back"), F.col("n").alias("n_back")), "back")
+    late = late.join(words.select(F.col("gram").alias("first"), F.col("n").alias("n_first")), "first")
+    # a pair that is in no table has no hash to look up: such rows are joined with nothing
+    late = late.join(pairs.select("gram", F.col("n").alias("n_pair")), "gram", "left")
+    n_back, n_pair = F.col("n_back") - F.col("own_back"), F.coalesce("n_pair", F.lit(0)) - F.col("own")
+    step = float(np.log(BACKOFF))
+    missed = F.when(n_back > 0, F.lit(step) + F.log(n_back) - F.log("others")).otherwise(F.lit(2 * step) - F.log(F.col("others") + 1))
+    value = F.when(n_pair > 0, F.log(n_pair) - F.log(F.col("n_first") - F.col("own_first"))).otherwise(missed)
+    parts = parts.union(late.select("row", (value * F.col("own")).alias("part")))
+
+    summed = parts.groupBy("row").agg(F.sum("part").alias("part"))
+    score = F.when(F.col("n_words") > 0, F.col("settled") + F.coalesce("part", F.lit(0.0))).otherwise(0.0)
+    done = texts_.join(summed, "row", "left").withColumn("score", score)
     mean = F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words"))
     return done.select("doc_id", "n_words", "score", mean.alias("mean_score"))
 
@@ -265,15 +245,23 @@ ORACLE = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS w FROM documents),
-pairs AS (
+places AS (
   SELECT doc_id, unnest(w) AS b, unnest(list_prepend(' ', w[1:len(w) - 1])) AS a FROM words WHERE len(w) > 0),
-one AS (SELECT b AS w, count(*) AS n FROM pairs GROUP BY b),
-before AS (SELECT a AS w, count(*) AS n FROM pairs WHERE a = ' ' GROUP BY a UNION ALL SELECT w, n FROM one),
-two AS (SELECT a, b, count(*) AS n FROM pairs GROUP BY a, b HAVING count(*) >= 3),
-total AS (SELECT sum(n) AS n FROM one),
+own AS (SELECT doc_id, a, b, count(*) AS n FROM places GROUP BY ALL),
+own_word AS (
+  SELECT doc_id, b AS w, count(*) AS n FROM places GROUP BY ALL
+  UNION ALL SELECT DISTINCT doc_id, ' ', 1 FROM places),
+pair AS (SELECT a, b, sum(n) AS n FROM own GROUP BY ALL),
+word AS (SELECT w, sum(n) AS n FROM own_word GROUP BY ALL),
+total AS (SELECT count(*) AS n FROM places),
 scored AS (
-  SELECT p.doc_id, coalesce(ln(t.n::DOUBLE / f.n), ln(0.4) + ln(o.n::DOUBLE / total.n)) AS s
-  FROM pairs p JOIN one o ON o.w = p.b JOIN before f ON f.w = p.a LEFT JOIN two t ON t.a = p.a AND t.b = p.b CROSS JOIN total)
+  SELECT o.doc_id, o.n * CASE
+    WHEN p.n > o.n THEN ln((p.n - o.n)::DOUBLE / (f.n - g.n))
+    WHEN x.n > y.n THEN ln(0.4) + ln((x.n - y.n)::DOUBLE / (total.n - len(d.w)))
+    ELSE 2 * ln(0.4) - ln((total.n - len(d.w) + 1)::DOUBLE) END AS s
+  FROM own o JOIN pair p ON p.a = o.a AND p.b = o.b JOIN word f ON f.w = o.a JOIN word x ON x.w = o.b
+  JOIN own_word g ON g.doc_id = o.doc_id AND g.w = o.a JOIN own_word y ON y.doc_id = o.doc_id AND y.w = o.b
+  JOIN words d ON d.doc_id = o.doc_id CROSS JOIN total)
 SELECT d.doc_id, len(any_value(d.w))::BIGINT AS n_words, round(coalesce(sum(s.s), 0), 4) AS score,
   round(sum(s.s) / len(any_value(d.w)), 6) AS mean_score
 FROM words d LEFT JOIN scored s ON s.doc_id = d.doc_id GROUP BY d.doc_id
