@@ -265,6 +265,20 @@ def test_gate_and_outcomes(spark):
     assert got == {"big": (50, "ok"), "small": (3, "too few rows"), "none": (0, "no output")}
 
 
+def test_a_failing_slice_stops_no_other(spark):
+    raw = spark.createDataFrame(
+        [("u", *raw_row(goals="many", matchday="3.5")), ("u", *raw_row()), ("v", *raw_row()), (None, *raw_row(goals="x"))],
+        "team string, " + ", ".join(f"{c} string" for c in RAW_ROW.fieldNames()))
+    cleaned = clean.clean_matches(raw, utc_stamp(NOW), F.lit("c"), keep=["team"])
+    errors = gates.slice_errors(cleaned, ["team"])
+    good = gates.without_slices(cleaned, errors, ["team"])
+    assert [r.team for r in good.collect()] == ["v"]
+    asked = spark.createDataFrame([("u",), ("v",), ("w",)], "team string")
+    got = {r.team: (r.rows, r.status, r.error) for r in gates.slice_outcomes(asked, good, ["team"], 1, errors).collect()}
+    assert got["v"] == (1, "ok", None) and got["w"] == (0, "no output", None)
+    assert got["u"][:2] == (0, "failed") and got["u"][2].startswith("not a number: ")
+
+
 def test_retention_keeps_unknown_dates(spark):
     df = spark.createDataFrame([("2026-03-12",), ("2026-03-13",), (None,), ("soon",)], "d string")
     assert rows_of(gates.retained(df, "d", dt.date(2026, 3, 27))) == sorted(
