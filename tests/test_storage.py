@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+import random
 import re
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -239,3 +241,30 @@ def test_retention_at_any_depth(spark, by):
     left = {r.id for r in read_table(spark, path, df.schema).select("id").collect()}
     assert left == {n for n in range(600) if n % 100 == 7 or n % 40 <= 14}
     assert staging.drop_expired(spark, path + "-none", TODAY) == []
+
+
+@pytest.mark.parametrize("block", ["64", "1000", "128m"])
+def test_csv_by_blocks_equals_the_whole(spark, tmp_path, block):
+    """Blocks that end inside quotes, between doubled quotes, and in the middle of a record of many lines."""
+    rng = random.Random(6)
+    parts = ["a", 'say ""x""', "\n", ",", "line\n\nline", "é", '""', "  "]
+    lines = ["player_id,note,goals\n"]
+    for n in range(400):
+        note = "".join(rng.choice(parts) for _ in range(rng.randrange(9)))
+        lines.append(f'{n},"{note}",{rng.choice(["", "1", "NA"])}\n')
+        lines += ["\n"] * (n % 50 == 0)
+    lines.append('400,"' + "long\n" * 500 + '",7')
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text("".join(lines), newline="")
+    columns = ["player_id", "note", "goals"]
+    expected = Counter(tuple(r) for r in tables.read_csv(spark, str(tmp_path), columns).collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = tables.read_csv_blocks(spark, str(tmp_path), columns)
+        assert Counter(tuple(r) for r in got.collect()) == expected and sum(expected.values()) == 802
+        with pytest.raises(Exception):
+            tables.read_csv_blocks(spark, str(tmp_path), columns[::-1]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -135,6 +135,20 @@ def csv_plain_scan(spark: SparkSession, d: str) -> DataFrame:
     return read.withColumn("text", F.md5("text")).drop("_path")
 
 
+@query("csv_block_scan", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(text) AS text, CASE lang WHEN 'fr' THEN NULL ELSE lang END AS note, source
+FROM documents
+""")
+def csv_block_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts with quotes and line breaks, read by blocks that begin and end anywhere."""
+    root = workspace(spark, "csv")
+    note = F.when(F.col("lang") == "fr", "N/A").otherwise(F.col("lang"))
+    documents = table(spark, d, "documents").select("doc_id", "text", note.alias("note"), "source")
+    tables.write_csv(documents, root, ["source"])
+    read = tables.read_csv_blocks(spark, root, ["doc_id", "text", "note"], ["source"])
+    return read.withColumn("text", F.md5("text")).drop("_path")
+
+
 STAGED = T.StructType([
     T.StructField(name, T.StringType())
     for name in ("team", "season", "bronze_scrape_date", "player_id", "note")
