@@ -180,3 +180,60 @@ def collocations(docs: list[tuple[str | None, str | None]], least: int, top: int
         rows.sort(key=lambda x: (-x[5], -x[1], x[0].encode("utf-8", "surrogatepass")))
         out += [(lang, k, *row) for k, row in enumerate(rows[:top], 1)]
     return out
+
+
+_MASK = (1 << 64) - 1
+
+
+def _mix(h: int) -> int:
+    h ^= h >> 30
+    h = h * 0xBF58476D1CE4E5B9 & _MASK
+    h ^= h >> 27
+    h = h * 0x94D049BB133111EB & _MASK
+    return h ^ h >> 31
+
+
+def order_minhash(text: str, k: int = 8, sketches: int = 32, size: int = 2) -> list[int]:
+    """Each component: the k-mers that are first in one order, numbered by occurrence, put in text order and hashed."""
+    if not text:
+        return [0] * sketches
+    k = min(k, len(text))
+    kmers, seen, items = [], collections.Counter(), []
+    for i in range(len(text) - k + 1):
+        h = 0
+        for c in text[i : i + k]:
+            h = (h * 0x100000001B3 + ord(c) + 1) & _MASK
+        kmers.append(_mix(h + k & _MASK))
+        items.append(_mix(kmers[-1] + seen[kmers[-1]] * 0xD6E8FEB86659FD93 & _MASK))
+        seen[kmers[-1]] += 1
+    out = []
+    for j in range(sketches):
+        xor, times = (_mix((1 + j + base) * 0x9E3779B97F4A7C15 & _MASK) for base in (0, 1000))
+        first = sorted(range(len(items)), key=lambda i: ((items[i] ^ xor) * (times | 1) & _MASK, i))[:size]
+        h = j + 1
+        for i in sorted(first):
+            h = _mix(h * 0x9E3779B97F4A7C15 + kmers[i] & _MASK)
+        out.append(h & 0xFFFFFFFF | 1)
+    return out
+
+
+def ftrl(rows: list[tuple[list[int], int]], bits: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> tuple[dict, float]:
+    """FTRL-proximal, one coordinate after the other; the bias is learned without ``l1``."""
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i: int) -> float:
+        bound = 0.0 if i < 0 else l1
+        if abs(z[i]) <= bound:
+            return 0.0
+        return -(z[i] - math.copysign(bound, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for slots, label in rows:
+            own = [*slots, -1]
+            w = {i: weight(i) for i in own}
+            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(w.values()))))) - label
+            for i in own:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z if i >= 0 and weight(i)}, weight(-1)

@@ -379,6 +379,24 @@ def test_toxicity(spark, odd, labels, none, no_labels):
     assert toxicity.toxicity_report(none, no_labels).count() == 0
 
 
+def test_training_equals_a_plain_one(monkeypatch):
+    """Per-coordinate rates and L1: weights as one coordinate after the other gives them."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    monkeypatch.setattr(toxicity, "L1", 0.7)
+    data = []
+    for _ in range(300):
+        slots = sorted(rng.sample(range(64), rng.randrange(9)))
+        data.append((slots, int(bool({3, 9} & set(slots)) != (rng.random() < 0.1))))
+    slots, weights, bias = toxicity.train(((np.array(s, np.int64), y) for s, y in data), bits=6)
+    expected, plain_bias = brute.ftrl(data, 6, toxicity.EPOCHS, toxicity.ALPHA, toxicity.BETA, 0.7, toxicity.L2)
+    assert bias == pytest.approx(plain_bias) and 0 < len(expected) < 64
+    assert dict(zip(slots.tolist(), weights.tolist())) == pytest.approx(expected)
+
+
 def test_toxicity_learns(spark):
     documents, marks = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity_report(documents, marks).filter("held_out").join(marks, "doc_id").collect()
@@ -451,6 +469,17 @@ def test_fingerprint_follows_order():
     assert like("", "") == 1 and like("abc", "abc") == 1 and like("abc", "abd") == 0
 
 
+def test_fingerprint_equals_a_plain_one():
+    import random
+
+    rng = random.Random(5)
+    texts = ["", "a", "abcdefg", "abcdefgh", "aaaaaaaaaaaaaaaa", "ab" * 40, "é中文\U0001f600" * 9]
+    texts += ["".join(rng.choice("abc ") for _ in range(rng.randrange(200))) for _ in range(40)]
+    texts.append("".join(rng.choice("abcdefgh ") for _ in range(order_minhash.BLOCK + 500)))  # more than one block
+    for text in texts:
+        assert order_minhash.fingerprint(order_minhash._points(text)).tolist() == brute.order_minhash(text)
+
+
 def test_occurrences():
     import numpy as np
 
