@@ -453,3 +453,24 @@ def test_players_delivered_one_after_the_other(spark):
     again = small_load(spark, tables, "2026-03-27", ("a", "2", match_page(range(1, 42))))
     assert rows_of(again.ingest) == [("a", "2025", 81, 1, 80, 81, 81)]
     assert rows_of(again.summary) == [("a", "2025", 81, 2, "2026-03-27")]
+
+
+def test_newest_snapshot_where_no_date_is_given(spark):
+    """Each slice by its own newest date; older snapshots of it are not staged."""
+    tables = season_load.Tables(workspace(spark, "undated"))
+    pages = [("a", "1", "2026-03-20", 55), ("a", "1", "2026-03-27", 60), ("a", "2", "2026-03-20", 50), ("b", "3", "2026-03-25", 51)]
+    frame = spark.createDataFrame(
+        [(t, t.upper(), "2025", "GB1", p, p, date, match_page(range(1, n + 1))) for t, p, date, n in pages], PAGE)
+    result = season_load.run(spark, frame, tables, "site", NOW)
+    assert rows_of(result.outcomes) == [("a", "2025", 60, "ok"), ("b", "2025", 51, "ok")]
+    assert rows_of(result.summary) == [("a", "2025", 60, 1, "2026-03-27"), ("b", "2025", 51, 1, "2026-03-25")]
+
+
+def test_strict_load_without_errors(spark):
+    tables = season_load.Tables(workspace(spark, "strict"))
+    good = match_page(range(1, 61))
+    frame = spark.createDataFrame(
+        [(t, t.upper(), "2025", "GB1", "1", "1", "2026-03-27", good) for t in ("a", "b")], PAGE)
+    result = season_load.run(spark, frame, tables, "site", NOW, "2026-03-27", strict=True)
+    assert [(r.team, r.status, r.error) for r in result.outcomes.orderBy("team").collect()] == [("a", "ok", None), ("b", "ok", None)]
+    assert rows_of(result.ingest) == [("a", "2025", 60, 60, 0, 60, 60), ("b", "2025", 60, 60, 0, 60, 60)]
