@@ -6,14 +6,15 @@ scores its count over its first word's count; any other pair scores ``BACKOFF``
 word's share of all words, and a word that no other document has ``BACKOFF`` squared times that of one
 word. A document's score is the sum of the logarithms.
 
-1. Each task counts the n-grams of its texts, and in how many texts a pair is. Spark adds the counts up
-   by hash. Pairs of a single text leave the table: without that text's own they are not there.
+1. Each task counts the n-grams of its texts, and marks those that several of them have. Spark adds the
+   counts up by hash. N-grams of a single text leave the table: without that text's own they are not
+   there. The rows are dealt by their place in the bitmap of step 2, so that it is made of few rows.
 2. The most frequent n-grams, a fixed number of them, are sent to all tasks: a task settles their
-   occurrences where they are, and takes for the others that the pair is not found. A bitmap of the pair
-   table of fixed size tells most pairs that are not in it, for which this is the end.
-3. The other occurrences become rows (document, pair, times, what finding it adds), are joined with the
-   count table by hash, and are summed per document. Where a word is not among the frequent ones, its
-   counts are joined as well.
+   occurrences where they are, and takes for the others that the pair is not found. A bitmap of the
+   table, of fixed size, tells most n-grams that are not in it, for which this is the end.
+3. The other occurrences become rows (document, n-gram, times, what finding it adds), are joined with the
+   rest of the table by hash, and are summed per document. Where a word is neither among the frequent ones
+   nor ruled out by the bitmap, it is a row of its own in the same join, and its pair is valued after it.
 """
 
 from __future__ import annotations
@@ -28,16 +29,17 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bitmap_of, hand_over, in_bitmap, mix, signed, texts, word_hashes
 
 BACKOFF = 0.4
-#: Words and pairs that are sent to all tasks, at most, 16 bytes each; bits of the bitmap of pairs.
-FREQUENT, PAIR_BITS = 1 << 20, 1 << 26
-#: N-grams that a task adds up before it sends their counts on.
+#: Words and pairs that are sent to all tasks, at most, 16 bytes each; bits of the bitmap of n-grams.
+FREQUENT, GRAM_BITS = 1 << 20, 1 << 26
+#: N-grams that a task adds up before it sends counts on; the quarter with the largest counts stays.
 HELD = 1_500_000
 
 _U = np.uint64
 _PRIME = _U(0x9E3779B97F4A7C15)
-_START = mix(np.array([1], np.uint64))[0]
 #: Words and pairs share the tables; a pair's hash is odd, a word's even.
 _ONE = _U(1)
+#: Stand for the start of a text, and for any word.
+_START, _ANY = mix(np.array([1, 2], np.uint64)) & ~_ONE
 
 
 def words_of(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +52,7 @@ def before_of(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     before = np.empty_like(words)
     before[1:] = words[:-1]
     starts = first[:-1][np.diff(first) > 0]
-    before[starts] = _START & ~_ONE
+    before[starts] = _START
     return before
 
 
@@ -65,38 +67,47 @@ def _own(owner: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return first, n, n[which]
 
 
-def _summed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    grams, n, in_texts = (np.concatenate(c) for c in zip(*held))
+def _counted(owner: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each n-gram once, and twice its number, plus 1 if several texts have it."""
     order = np.argsort(grams, kind="stable")
-    grams = grams[order]
+    grams, owner = grams[order], owner[order]
     start = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-    return grams[start], np.add.reduceat(n[order], start), np.add.reduceat(in_texts[order], start)
+    end = np.append(start[1:], len(grams))
+    return grams[start], 2 * (end - start) + (owner[start] != owner[end - 1])
+
+
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of different texts in one: what is there more than once, several texts have."""
+    grams, marked = (np.concatenate(c) for c in zip(*held))
+    order = np.argsort(grams, kind="stable")
+    grams, marked = grams[order], marked[order]
+    start = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    met = np.diff(np.append(start, len(grams))) > 1
+    return grams[start], 2 * np.add.reduceat(marked >> 1, start) + (met | (marked[start] & 1 == 1))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (gram, n, texts)."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    """Rows (gram, marked): no two rows of an n-gram count the same text."""
+    held = np.zeros(0, _U), np.zeros(0, np.int64)
 
-    def rows() -> pa.RecordBatch:
-        grams, n, in_texts = held[0]
-        return pa.RecordBatch.from_arrays([pa.array(signed(grams)), pa.array(n), pa.array(in_texts)], ["gram", "n", "texts"])
+    def rows(grams: np.ndarray, marked: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(signed(grams)), pa.array(marked)], ["gram", "marked"])
 
     for _, raw in texts(batches):
         words, first = words_of(raw)
         if not len(words):
             continue
         owner = np.repeat(np.arange(len(raw)), np.diff(first))
-        pairs = pairs_of(before_of(words, first), words)
-        at, n, _ = _own(owner, pairs)
-        word, of_word = np.unique(words, return_counts=True)
-        starts = np.array([_START & ~_ONE], _U), np.array([(np.diff(first) > 0).sum()]), np.zeros(1, np.int64)
-        held += [(pairs[at], n, np.ones(len(at), np.int64)), (word, of_word, np.zeros(len(word), np.int64)), starts]
-        held[:] = [_summed(held)]
-        if len(held[0][0]) > HELD:
-            yield rows()
-            held.clear()
-    if held:
-        yield rows()
+        filled = int((np.diff(first) > 0).sum())
+        marks = np.array([_START, _ANY], _U), np.array([2 * filled + (filled > 1), 2 * len(words) + 1])
+        held = _summed([held, _counted(owner, pairs_of(before_of(words, first), words)), _counted(owner, words), marks])
+        if len(held[0]) > HELD:
+            grams, marked = held
+            stays = marked > np.partition(marked, len(marked) - HELD // 4)[len(marked) - HELD // 4]
+            yield rows(grams[~stays], marked[~stays])
+            held = grams[stays], marked[stays]
+    if len(held[0]):
+        yield rows(*held)
 
 
 def _look(keys: np.ndarray, logs: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,18 +117,22 @@ def _look(keys: np.ndarray, logs: np.ndarray, grams: np.ndarray) -> tuple[np.nda
     return keys[at] == grams, logs[at].astype(np.float64)
 
 
-_ROWS = (
-    "row bigint, doc_id bigint, n_words bigint, settled double, gram bigint, own bigint, adds double, "
-    "first bigint, back bigint, own_first bigint, own_back bigint, others double"
-)
+_ROWS = "row bigint, place bigint, gram bigint, own bigint, adds double, known bigint, others bigint"
+#: What a row is: ``place`` is four times the pair's number within its text, plus one of the first four,
+#: or one of the last two.
+_PAIR, _SECOND, _FIRST, _MET = 0, 1, 2, 3
+_TEXT, _ASK = -4, -3
 
 
 def _score(packed):
-    """A text's settled score, and rows for the pairs that are to be looked up.
-
-    ``adds`` is what a pair adds for each time if it is found, beside the logarithm of its count. It is
-    null where a word's count is not at hand: ``first`` and ``back`` are to be looked up then, ``gram``
-    too if there is one, and nothing of the pair is settled. ``others``: words of all other texts.
+    """Rows for the texts, and for the n-grams that are to be looked up.
+
+    - ``_TEXT``: in ``adds`` what is settled, in ``known`` the document's id, in ``others`` its words.
+    - ``_ASK``: a pair that adds, for each of ``own`` times if it is found, ``adds`` beside the logarithm of its count.
+    - ``_PAIR``: a pair of which nothing is settled. ``adds`` and ``known`` are the counts of its first and
+      second word, null where they are to be looked up; ``others`` are the words of all other texts.
+    - ``_SECOND``, ``_FIRST``: those look-ups, with ``own`` times in the text itself.
+    - ``_MET``: nothing to look up; the others have the pair, a frequent one, minus ``own`` times.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,48 +151,66 @@ def _score(packed):
             pairs, owner_, before, words = all_pairs[at], owner[at], before[at], words[at]
             own_before, own_word = own_before[at], own_word[at]
             others = total - sizes[owner_]
-            maybe = in_bitmap(bitmap, pairs)
             known, n_pair = _look(pair_keys, pair_counts, pairs)
             has_first, n_first = _look(word_keys, word_counts, before)
-            has_back, n_back = _look(word_keys, word_counts, words)
-            ready = has_back & (has_first | ~maybe)
-            n_first, n_back, n_pair = n_first - own_before, n_back - own_word, n_pair - own
+            has_second, n_second = _look(word_keys, word_counts, words)
+            n_pair, n_first, n_second = (np.where(has, n - of_text, 0) for has, n, of_text in (
+                (known, n_pair, own), (has_first, n_first, own_before), (has_second, n_second, own_word)))
+            seek_first = ~has_first & in_bitmap(bitmap, before)
+            seek_second = ~has_second & in_bitmap(bitmap, words)
+            # a pair is in the table only if both words are
+            seek_pair = ~known & (has_first | seek_first) & (has_second | seek_second) & in_bitmap(bitmap, pairs)
+            seek_first &= known | seek_pair
+            ready = ~(seek_first | seek_second)
             with np.errstate(divide="ignore", invalid="ignore"):
                 missed = np.where(
-                    n_back > 0, np.log(BACKOFF) + np.log(n_back) - np.log(others), 2 * np.log(BACKOFF) - np.log(others + 1)
+                    n_second > 0, np.log(BACKOFF) + np.log(n_second) - np.log(others), 2 * np.log(BACKOFF) - np.log(others + 1)
                 )
-                found = np.where(known & (n_pair > 0), np.log(n_pair) - np.log(n_first), missed)
+                value = np.where(n_pair > 0, np.log(n_pair) - np.log(n_first), missed)
                 adds = -np.log(n_first) - missed
-            settled = np.bincount(owner_[ready], (found * own)[ready], len(raw))
-            ask = np.flatnonzero(ready & maybe & ~known & (n_first > 0))
+            settled = np.bincount(owner_[ready], (value * own)[ready], len(raw))
+            ask = np.flatnonzero(ready & seek_pair & (n_first > 0))
             late = np.flatnonzero(~ready)
-            both = np.concatenate([ask, late])
-            lines, none = len(raw), len(both)
+            second, first_ = late[seek_second[late]], late[seek_first[late]]
+            lines = np.arange(len(raw))
+            ids = batch.column("row").to_numpy().astype(np.int64)
+            long, real = pa.int64(), pa.float64()
 
-            def of_text(values, kind):
-                return pa.concat_arrays([pa.array(values, kind), pa.nulls(none, kind)])
+            def filled(*parts):
+                return np.concatenate(parts)
 
-            def of_pair(values, kind, mask=None):
-                return pa.concat_arrays([pa.nulls(lines, kind), pa.array(values, kind, mask=mask)])
+            def some(kind, here, n, mask=None):
+                return pa.concat_arrays([pa.array(here, kind, mask=mask), pa.nulls(n, kind)])
 
-            long, real = pa.int64(), pa.float64()
-            is_late = np.arange(none) >= len(ask)
+            met = late[n_pair[late] > 0]
+            looked = len(second) + len(first_) + len(met)
+            # what is to meet nothing has its place, spread, for an n-gram, so frequent pairs do not gather
+            free = mix(ids.view(_U))
+            sought = np.where(known, mix(pairs + free[owner_]), pairs)
             columns = {
-                "row": batch.column("row").take(pa.array(np.concatenate([np.arange(lines), owner_[both]]))),
-                "doc_id": of_text(batch.column("doc_id").to_pylist(), long), "n_words": of_text(sizes, long),
-                "settled": of_text(settled, real), "gram": of_pair(signed(pairs[both]), long, ~maybe[both]),
-                "own": of_pair(own[both], long), "adds": of_pair(adds[both], real, is_late),
-                "first": of_pair(signed(before[both]), long, ~is_late), "back": of_pair(signed(words[both]), long, ~is_late),
-                "own_first": of_pair(own_before[both], long, ~is_late), "own_back": of_pair(own_word[both], long, ~is_late),
-                "others": of_pair(others[both].astype(float), real, ~is_late),
+                "row": pa.array(ids[filled(lines, owner_[ask], owner_[late], owner_[second], owner_[first_], owner_[met])]),
+                "place": pa.array(filled(
+                    np.full(len(raw), _TEXT), np.full(len(ask), _ASK),
+                    4 * late + _PAIR, 4 * second + _SECOND, 4 * first_ + _FIRST, 4 * met + _MET)),
+                "gram": pa.array(signed(filled(free, pairs[ask], sought[late], words[second], before[first_], sought[met]))),
+                "own": pa.array(filled(
+                    np.zeros(len(raw), np.int64), own[ask], own[late], own_word[second], own_before[first_],
+                    -n_pair[met].astype(np.int64))),
+                "adds": some(real, filled(settled, adds[ask], n_first[late]), looked,
+                             filled(np.zeros(len(raw) + len(ask), bool), seek_first[late])),
+                "known": pa.concat_arrays([
+                    batch.column("doc_id"), pa.nulls(len(ask), long),
+                    some(long, n_second[late].astype(np.int64), looked, seek_second[late])]),
+                "others": pa.concat_arrays([
+                    pa.array(sizes, long), pa.nulls(len(ask), long), some(long, others[late], looked)]),
             }
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
-def _frequent(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams above the least count that leaves no more than ``FREQUENT``, and their counts.
+def _frequent(table: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """The n-grams above the least count that leaves no more than ``FREQUENT``, their counts, and the rest.
 
     The count comes from a histogram, so nothing is sorted and no task sees the table.
     """
@@ -191,7 +224,19 @@ def _frequent(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     rows = table.filter(level >= cut).toArrow()
     keys, counts = rows.column("gram").to_numpy().view(_U), rows.column("n").to_numpy().astype(float)
     order = np.argsort(keys)
-    return keys[order], counts[order]
+    return keys[order], counts[order], table.filter(level < cut)
+
+
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """``gram, n`` of the words and pairs that several texts have, and of the mark of any word."""
+    counted = docs.select("text").mapInArrow(_count, "gram bigint, marked bigint")
+    # as ``bitmap_of`` has it: all n-grams of one of its words lie in one task, and so in one file
+    slot = F.shiftright(F.pmod(F.col("gram"), F.lit(GRAM_BITS)), 5)
+    several = (F.count("*") > 1) | (F.max(F.col("marked").bitwiseAND(F.lit(1))) == 1)
+    counts = counted.repartition(slot).groupBy(slot.alias("slot"), "gram").agg(
+        F.sum(F.shiftright("marked", 1)).alias("n"), several.alias("several")
+    )
+    return counts.filter("several").select("gram", "n")
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
@@ -199,38 +244,42 @@ def lm_scores(docs: DataFrame) -> DataFrame:
 
     Words are lower-cased (A-Z) runs between white space; a text's first word follows a start mark. A
     text without words has score 0 and no mean. Repeated rows are documents of their own: each is scored
-    with the others' counts. Other columns are not looked at.
+    with the others' counts. Other columns are not looked at. Rows are known by their place in the scan,
+    so ``docs`` is to come from files: hand over what comes out of a shuffle first.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     spark = docs.sparkSession
-    counted = docs.select("text").mapInArrow(_count, "gram bigint, n bigint, texts bigint")
-    counts = counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
-    is_pair = F.col("gram").bitwiseAND(F.lit(1)) == 1
-    counts = hand_over(counts.filter(~is_pair | (F.col("texts") > 1)).drop("texts"), "lm-counts")
-    pairs, words = counts.filter(is_pair), counts.filter(~is_pair)
-    start = F.lit(int((_START & ~_ONE).astype(np.int64)))
-    total = int(words.filter(F.col("gram") != start).agg(F.sum("n")).first()[0] or 0)
-    packed = spark.sparkContext.broadcast((*_frequent(pairs), *_frequent(words), bitmap_of(pairs, "gram", PAIR_BITS), total))
-    scored = hand_over(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_score(packed), _ROWS), "lm-rows")
-    texts_ = scored.filter(F.col("own").isNull()).select("row", "doc_id", "n_words", "settled")
-    asked = scored.filter(F.col("adds").isNotNull()).select("row", "gram", "own", "adds")
-    met = asked.join(pairs, "gram").filter(F.col("n") > F.col("own"))
-    parts = met.select("row", (F.col("own") * (F.log(F.col("n") - F.col("own")) + F.col("adds"))).alias("part"))
-
-    late = scored.filter(F.col("own").isNotNull() & F.col("adds").isNull())
-    late = late.join(words.select(F.col("gram").alias("back"), F.col("n").alias("n_back")), "back")
-    late = late.join(words.select(F.col("gram").alias("first"), F.col("n").alias("n_first")), "first")
-    # a pair that is in no table has no hash to look up: such rows are joined with nothing
-    late = late.join(pairs.select("gram", F.col("n").alias("n_pair")), "gram", "left")
-    n_back, n_pair = F.col("n_back") - F.col("own_back"), F.coalesce("n_pair", F.lit(0)) - F.col("own")
-    step = float(np.log(BACKOFF))
-    missed = F.when(n_back > 0, F.lit(step) + F.log(n_back) - F.log("others")).otherwise(F.lit(2 * step) - F.log(F.col("others") + 1))
-    value = F.when(n_pair > 0, F.log(n_pair) - F.log(F.col("n_first") - F.col("own_first"))).otherwise(missed)
-    parts = parts.union(late.select("row", (value * F.col("own")).alias("part")))
-
-    summed = parts.groupBy("row").agg(F.sum("part").alias("part"))
-    score = F.when(F.col("n_words") > 0, F.col("settled") + F.coalesce("part", F.lit(0.0))).otherwise(0.0)
-    done = texts_.join(summed, "row", "left").withColumn("score", score)
+    counts = hand_over(gram_counts(docs), "lm-counts")
+    is_any, is_pair = F.col("gram") == F.lit(int(_ANY.astype(np.int64))), F.col("gram").bitwiseAND(F.lit(1)) == 1
+    total = counts.filter(is_any).first()
+    *pairs, rare_pairs = _frequent(counts.filter(is_pair))
+    *words, rare_words = _frequent(counts.filter(~is_pair & ~is_any))
+    tables = (*pairs, *words, bitmap_of(counts, "gram", GRAM_BITS), total["n"] if total else 0)
+    scored = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_score(spark.sparkContext.broadcast(tables)), _ROWS)
+
+    met = scored.join(rare_pairs.union(rare_words), "gram", "left")
+    left = F.coalesce("n", F.lit(0)) - F.col("own")
+    place, kind = F.col("place"), F.when(F.col("place") >= 0, F.col("place").bitwiseAND(F.lit(3)))
+    is_text, pair = place == _TEXT, kind == _PAIR
+    part = F.when(is_text, F.col("adds")).when((place == _ASK) & (left > 0), F.col("own") * (F.log(left) + F.col("adds")))
+    valued = met.groupBy("row", F.shiftright("place", 2).alias("pair")).agg(
+        F.sum(part).alias("part"),
+        F.max(F.when(is_text, F.col("known"))).alias("doc_id"),
+        F.max(F.when(is_text, F.col("others"))).alias("n_words"),
+        F.max(F.when(pair, F.col("own"))).alias("own"),
+        F.max(F.when(pair | (kind == _MET), left)).alias("n_pair"),
+        F.max(F.when(pair, F.col("adds")).when(kind == _FIRST, left.cast("double"))).alias("n_first"),
+        F.max(F.when(pair, F.col("known")).when(kind == _SECOND, left)).alias("n_second"),
+        F.max(F.when(pair, F.col("others"))).alias("others"),
+    )
+    step, n_pair, n_second = float(np.log(BACKOFF)), F.col("n_pair"), F.col("n_second")
+    missed = F.when(n_second > 0, F.lit(step) + F.log(n_second) - F.log("others")).otherwise(
+        F.lit(2 * step) - F.log(F.col("others") + 1))
+    value = F.when(n_pair > 0, F.log(n_pair) - F.log("n_first")).otherwise(missed) * F.col("own")
+    done = valued.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
+        F.sum(F.when(F.col("pair") < 0, F.col("part")).otherwise(value)).alias("score"),
+    )
     mean = F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words"))
     return done.select("doc_id", "n_words", "score", mean.alias("mean_score"))
 
