@@ -485,3 +485,10 @@ def test_occurrences():
 
     kmers = np.array([5 << 40, 7 << 40, 5 << 40, 5 << 40, 9 << 40, 7 << 40], np.uint64)
     assert order_minhash.occurrences(kmers).tolist() == [0, 0, 1, 2, 0, 1]
+
+
+def test_line_keys_lower_a_to_z_alone(spark):
+    lines = [" \tPlain LINE \r", "ÉTÉ Straße İI \u212a\xa0", "", "\x0b\x0c", "\xa0X\xa0", "A\tB"]
+    df = spark.createDataFrame([(lines,)], "lines array<string>").select(line_dedup.line_keys(F.col("lines")))
+    upper = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
+    assert df.collect()[0][0] == [line.strip(" \t\n\x0b\x0c\r").translate(upper) for line in lines]

@@ -26,8 +26,17 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(BLANKS)), _UPPER, _LOWER)
+def line_keys(lines: Column) -> Column:
+    """Each line without blanks at its ends and with A-Z lower-cased.
+
+    Only of plain ASCII does ``lower`` change no other letter; it reads bytes, ``translate`` looks up every one.
+    """
+
+    def lowered(line: Column) -> Column:
+        ascii_ = F.octet_length(line) == F.char_length(line)
+        return F.when(ascii_, F.lower(line)).otherwise(F.translate(line, _UPPER, _LOWER))
+
+    return F.transform(F.transform(lines, lambda line: F.btrim(line, F.lit(BLANKS))), lowered)
 
 
 def _row_key(doc_id: Column, text: Column) -> list[Column]:
@@ -38,7 +47,7 @@ def _row_key(doc_id: Column, text: Column) -> list[Column]:
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = 2) -> DataFrame:
     """``doc_id, text_hash, text_chars, positions``: the lines each document loses, where it loses any."""
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
-        *_row_key(F.col("doc_id"), F.col("text")), F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key")
+        *_row_key(F.col("doc_id"), F.col("text")), F.posexplode(line_keys(lines_of(F.col("text")))).alias("pos", "key")
     )
     # two hashes with unlike seeds: 128 bits
     hashed = rows.filter(F.char_length("key") >= min_chars).select(
