@@ -266,3 +266,29 @@ def test_documents_of_repeated_and_missing_page_ids(spark):
     for df in (got, found):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_tables_are_read_as_one_text(spark):
+    """The texts of all cells are cleaned together: what is done cell by cell, Spark interprets."""
+    df = spark.createDataFrame([(0, page(REGULAR, SECOND))], "page_id long, html string")
+    for found, most in ((P.table_cells(df), 60), (P.match_table_numbers(df), 60), (P.page_links(df), 22)):
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction") <= most
+
+
+def test_cell_texts_equal_those_of_single_fragments(values):
+    """Blanks, references and tags in cells, cleaned for the whole page, are what ``text_of`` makes of each cell."""
+    rng = random.Random(5)
+    parts = ["a", " ", "\u00a0", "\n", "&nbsp;", "&amp;lt;", "&#0;", "&#x41", "&", "-", "<b>", "</b>", "<i title='<td>x'>", "<!>",
+             "<", ">", '"', "r", "/d", "\u3000", "<br/>", "\u00e9"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(400)]
+    texts = [t for t in texts if "<td" not in t and t.count("<") == len(re.findall("<[^<>]*>", t))]
+    got = values([f"<table><tr><td>{t}</td></tr></table>" for t in texts], H.tables)
+    nested = values([f"<table><tr><td>{t}<table></table></td></tr></table>" for t in texts], H.tables)
+    want = values(texts, H.text_of)
+    assert [g[0][0][0] for g in got] == want and [g[0][0][0] for g in nested] == want
+
+
+def test_last_attribute_of_a_name_counts(values):
+    tags = ['<a HREF=x data-href="y" href = "z" href2=1>t</a>', "<a xhref='q' title>t</a>", "<a title='href=1' href>t</a>"]
+    got = values(tags, H.anchors)
+    assert [(a[0].href, a[0].title) for a in got] == [("z", None), (None, ""), ("", "href=1")]
