@@ -292,3 +292,21 @@ def test_last_attribute_of_a_name_counts(values):
     tags = ['<a HREF=x data-href="y" href = "z" href2=1>t</a>', "<a xhref='q' title>t</a>", "<a title='href=1' href>t</a>"]
     got = values(tags, H.anchors)
     assert [(a[0].href, a[0].title) for a in got] == [("z", None), (None, ""), ("", "href=1")]
+
+
+def test_links_come_with_their_anchor_unread(values):
+    (found,) = values(["<a href='/x' title=y> t <b>u</b></a>"], H.links)
+    assert [tuple(a) for a in found] == [(0, "/x", "y", "<a href='/x' title=y> t <b>u</b></a>")]
+
+
+def test_plain_numbers_need_nothing_taken_out(values):
+    texts = ["7", "+7", "-7.5", "7.", ".5", "1e3", " 7 ", "1_0", "1_0.5", "", "+", "7" * 400, "9" * 19 + ".9", "nan", "7d", "7\n", "-0"]
+    got = values(texts, N.parse_float)
+
+    def plain(text):
+        try:
+            return None if text.endswith("d") else float(text)
+        except ValueError:
+            return None
+
+    assert [repr(v) for v in got] == [repr(plain(t)) for t in texts]
