@@ -310,3 +310,19 @@ def test_plain_numbers_need_nothing_taken_out(values):
             return None
 
     assert [repr(v) for v in got] == [repr(plain(t)) for t in texts]
+
+
+def test_clubs_and_players_are_joined_without_a_broadcast(spark):
+    """Spark counts the exploded clubs and seasons of a page as one row, so they would pass for small at any number."""
+    from tidemark.operators import discovery
+
+    leagues = spark.createDataFrame(
+        [(5, "GB1", "2025", club("Arsenal FC", 11, 2025))], "page_id long, league_id string, season string, html string")
+    rosters = spark.createDataFrame(
+        [(5, "u", "2025", "U", "11", "<a href='/p-q/profil/spieler/1'>P</a>")],
+        "page_id long, team string, season string, club string, club_id string, html string")
+    work = discovery.discover(
+        discovery.league_documents(leagues, SITE, F.lit("now")), discovery.roster_documents(rosters, SITE, F.lit("now")),
+        ["2025", "2024"])
+    assert [(r.team, r.season, r.player_id) for r in work.collect()] == [("arsenal_fc", "2025", "1")]
+    assert "Broadcast" not in work._jdf.queryExecution().executedPlan().toString()
