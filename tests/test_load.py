@@ -474,3 +474,17 @@ def test_strict_load_without_errors(spark):
     result = season_load.run(spark, frame, tables, "site", NOW, "2026-03-27", strict=True)
     assert [(r.team, r.status, r.error) for r in result.outcomes.orderBy("team").collect()] == [("a", "ok", None), ("b", "ok", None)]
     assert rows_of(result.ingest) == [("a", "2025", 60, 60, 0, 60, 60), ("b", "2025", 60, 60, 0, 60, 60)]
+
+
+def test_newest_snapshot_reads_its_pages_once(spark, tmp_path):
+    """The rows are written before the newest date is chosen, as both sides of the choice read them."""
+    from tidemark.plans.queries.documents import clean_latest_snapshot
+
+    day = [dt.date(1995, 2, 3), dt.date(1995, 8, 9), dt.date(1995, 8, 9)]
+    spark.createDataFrame(
+        [(n, 7 + n, "O", d, "1-URGENT") for n, d in zip((2, 3, 6), day)],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate date, o_orderpriority string",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    got = clean_latest_snapshot(spark, str(tmp_path))
+    assert "(?:!--" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.player_id, r.bronze_scrape_date) for r in got.collect()) == [("10", "1995-07-01")] * 2 + [("13", "1995-07-01")] * 2
