@@ -326,3 +326,22 @@ def test_clubs_and_players_are_joined_without_a_broadcast(spark):
         ["2025", "2024"])
     assert [(r.team, r.season, r.player_id) for r in work.collect()] == [("arsenal_fc", "2025", "1")]
     assert "Broadcast" not in work._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_are_dealt_by_their_number(spark):
+    """A task gets a bounded share of the pages, however many there are."""
+    from tidemark.session import ROWS_PER_TASK, spread
+
+    many = spread(spark.range(ROWS_PER_TASK * 20 + 1))
+    assert many.rdd.getNumPartitions() == 21 and many.count() == ROWS_PER_TASK * 20 + 1
+    assert spread(spark.range(3)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_white_space_is_looked_up(values):
+    """Low characters of the class stand alone, so the matcher looks into a table; the class is Python's white space."""
+    from tidemark.functions.text import SPACE
+
+    assert "-" not in SPACE[: SPACE.index("[", 1)]
+    every = "".join(chr(n) for n in range(1, 0x3100))
+    (left,) = values([every], lambda v: F.regexp_replace(v, SPACE, ""))
+    assert left == "".join(c for c in every if not c.isspace())
