@@ -6,6 +6,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import cells as C
+from tidemark.functions import dates as D
 from tidemark.functions import html as H
 from tidemark.functions import numbers as N
 from tidemark.operators import pages as P
@@ -70,6 +72,26 @@ def test_outcomes(read):
     assert got[2]["player_stats"] == []
 
 
+def test_a_rows_parts_are_worked_out_once(spark):
+    """In a lambda every mention of an expression is evaluated; before, the cells before the score were gathered ten times."""
+    cells, at = F.col("cells"), F.col("at")
+    assert str(C.match_context(C.before_result(cells, at))).count("slice(cells") == 1
+    assert str(C.stat_texts(C.tail(cells, at))).count("slice(cells") == 1
+    assert str(C.match_rows(F.col("rows"))).count("(?i)^(jan|") == str(D.is_match_date(F.col("cell"))).count("(?i)^(jan|")
+
+
+def test_match_rows_of_odd_cells(read):
+    """Too few cells, no number, zero, no date, no score: no row. A score right behind the date leaves no names."""
+    day = "Aug 22, 2025"
+    odd = [cells("1", day, "a", "b", "1:0"), cells("x", day, "a", "b", "1:0", "CF"), cells("0", day, "a", "b", "1:0", "CF"),
+           cells("1", "soon", "a", "b", "1:0", "CF"), cells("1", day, "a", "b", "c", "CF")]
+    (got,) = read(page(REGULAR, cells("3.7", day, "1:0", "CF", "1,000", "5'", "x"), *odd, SECOND))
+    rows = got["player_stats"]
+    assert [(r["row_no"], r["matchday"]) for r in rows] == [(0, 1), (1, 3), (7, 2)]
+    assert [rows[1][c] for c in ("venue", "home_team", "away_team", "goals", "assists", "own_goals", "note")] == [
+        None, None, None, 1000, 5, None, None]
+
+
 def test_first_match_table_wins_and_only_eight_rows_count(read):
     late = page(*([cells("x")] * 7), REGULAR, SECOND)
     other = "<table>" + cells("a", "b") + "</table>"
