@@ -31,6 +31,20 @@ def _class(chars: str) -> str:
 
 SPACE = _class(SPACES)
 
+
+def _ranges(chars: str) -> str:
+    """The same class without an intersection, which other engines do not have."""
+    runs: list[list[int]] = []
+    for code in map(ord, chars):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in runs) + "]"
+
+
+SPACE_SQL = _ranges(SPACES)
+
 NAME_RANK = r"(?d)^(.*?)" + SPACE + r"*\(([0-9]+)\.\)\z"
 
 

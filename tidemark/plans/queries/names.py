@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates, numbers, text
 from tidemark.plans.queries.registry import query, table
 
-SPACE = text.SPACE
+SPACE = text.SPACE_SQL
 SPACES_SQL = " || ".join(f"chr({ord(char)})" for char in text.SPACES)
 
 
