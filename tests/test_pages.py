@@ -367,3 +367,30 @@ def test_white_space_is_looked_up(values):
     every = "".join(chr(n) for n in range(1, 0x3100))
     (left,) = values([every], lambda v: F.regexp_replace(v, SPACE, ""))
     assert left == "".join(c for c in every if not c.isspace())
+
+
+def test_dates_are_told_by_one_search(values):
+    """The pattern knows which days there are: it is true of exactly the texts that are read as a date."""
+    months = ["jan", "FEB", "Apr", "jun", "Jul", "sep", "nov", "dec", "foo", "0", "1", "02", "2", "04", "9", "11", "12", "13"]
+    years = ["2025", "2024", "1900", "2000", "0000", "0004", "0400", "00", "68", "69", "96", "99", "5"]
+    texts = [t for m in months for d in ("0", "1", "01", "28", "29", "30", "31", "32") for y in years
+             for t in (f"{m} {d}, {y}", f"{m}/{d}/{y}")] + ["jan  3,\t2024", "jan 3,2024", " jan 3, 2024", "jan 3, 2024\n", "", None]
+    got = values(texts, lambda v: D.match_date(v).isNotNull(), D.is_match_date)
+    assert [a for a, _ in got] == [b for _, b in got] and {a for a, _ in got} == {True, False}
+    assert "split" not in str(D.is_match_date(F.col("v")))
+
+
+def test_short_numbers_are_cast_at_once(values):
+    texts = ["7", "007", "9" * 15, "9" * 16, "86'", "86''", "'86", "1,000", "1,000'", "+5", "3.7", "", "x", None]
+    assert values(texts, N.to_int) == [7, 7, 10**15 - 1, 10**16, None, None, None, 1000, None, 5, 3, None, None, None]
+    assert values(texts, N.parse_minutes) == [7, 7, 10**15 - 1, 10**16, 86, 86, 86, 1000, 1000, 5, 3, None, None, None]
+    assert values(texts, N.parse_stat) == [7, 7, 10**15 - 1, 10**16, 86, None, None, 1000, None, 5, 3, None, None, None]
+
+
+def test_only_wanted_attributes_are_read(spark, values):
+    """Each attribute takes a search of its own: players need no title, clubs that of the links to a club only."""
+    (found,) = values(["<a href='/x' title=y>t</a>"], lambda v: H.links(v, "href"))
+    assert [tuple(a) for a in found] == [(0, "/x", "<a href='/x' title=y>t</a>")]
+    df = spark.createDataFrame([(1, "2025", club("United", 985, 2025) + club("No", 8, 2025, title=False))], "page_id long, season string, html string")
+    assert "(?i:title)" not in P.squad_players(df, SITE)._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.pos, r.club_name) for r in P.league_clubs(df, SITE).collect()] == [(0, "United")]
